@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,25 @@ def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(f"`{old}`").alias(new) for old, new in names.items()])
 
 
-def document_lines(
+@dataclass(frozen=True)
+class Documents:
+    """Lines with their header in ``rows``; the same lines without it in ``lines``.
+
+    Work that needs the link columns only reads ``lines`` and saves the header join.
+    """
+
+    rows: DataFrame
+    lines: DataFrame
+
+    def where_line(self, condition: Column) -> Documents:
+        return Documents(self.rows.filter(condition), self.lines.filter(condition))
+
+    def where_header(self, condition: Column) -> Documents:
+        kept = self.rows.filter(condition)
+        return Documents(kept, kept)
+
+
+def documents(
     header: DataFrame,
     line: DataFrame,
     prefix: str,
@@ -24,9 +43,11 @@ def document_lines(
     gate: Column | None = None,
     how: str = "left",
     entry: str = "DocEntry",
-) -> DataFrame:
+) -> Documents:
     """Lines with the header of their own document, columns prefixed.
 
+    The document number is the header's primary key, so the join does not repeat lines.
+
     ``gate`` is a condition on the header inside the join: lines of other headers stay, with
     the header columns null.  Joining lines to headers before any chain keeps the rows
     narrow and the shuffle on the document number.
@@ -35,12 +56,17 @@ def document_lines(
     heads = renamed(heads, {entry: f"{prefix}_entry", **{c: f"{prefix}_{n}" for c, n in header_cols.items()}})
     lines = renamed(line, {entry: f"_{prefix}_of", **{c: f"{prefix}_{n}" for c, n in line_cols.items()}})
     joined = lines.join(heads, lines[f"_{prefix}_of"] == heads[f"{prefix}_entry"], how)
-    return joined.drop(f"_{prefix}_of")
+    return Documents(joined.drop(f"_{prefix}_of"), lines.drop(f"_{prefix}_of"))
+
+
+def document_lines(*args, **kwargs) -> DataFrame:
+    """The rows of :func:`documents`."""
+    return documents(*args, **kwargs).rows
 
 
 def follow(
     parents: DataFrame,
-    child: DataFrame,
+    child: Documents,
     prefix: str,
     base_type: int,
     on: list[tuple[str, str]],
@@ -51,13 +77,14 @@ def follow(
     ``on`` pairs a parent column with the child's ``base_entry``, ``base_line``, and where the
     chain asks for it ``item``.
     """
-    typed = child.filter(F.col(f"{prefix}_base_type") == F.lit(base_type))
-    return left_join(parents, typed, [(p, f"{prefix}_{c}") for p, c in on], limit)
+    typed = F.col(f"{prefix}_base_type") == F.lit(base_type)
+    keys = [(p, f"{prefix}_{c}") for p, c in on]
+    return left_join(parents, child.rows.filter(typed), keys, limit, child.lines.filter(typed))
 
 
 def alternative_link_join(
     parents: DataFrame,
-    child: DataFrame,
+    child: Documents,
     prefix: str,
     arms: list[tuple[int, str, str]],
     limit: int | None = None,
@@ -65,41 +92,29 @@ def alternative_link_join(
     """Left join to child lines reachable by any of several (type, entry, line) links.
 
     A child line has one base link, so it matches a parent once if the parent's links are
-    distinct.  The links that exist among the children are found first, on the link columns
-    alone; each parent then takes one row per existing link, or one row without any.  All
-    joins are equi-joins.
+    distinct.  For each arm the parent first learns whether any child carries its link, from
+    the distinct link columns alone; it then takes one row per distinct existing link, or one
+    row without any, and joins the children on it.  All joins are equi-joins, the parents are
+    read once, and an arm on the key of the preceding join needs no new shuffle.
     """
     keys = ["_t", "_e", "_l"]
     base = [f"{prefix}_base_type", f"{prefix}_base_entry", f"{prefix}_base_line"]
-    links = F.array(
-        *[
-            F.when(
-                F.col(entry).isNotNull() & F.col(line).isNotNull(),
-                F.struct(
-                    F.lit(kind).cast("bigint").alias("_t"),
-                    F.col(entry).cast("bigint").alias("_e"),
-                    F.col(line).cast("bigint").alias("_l"),
-                ),
-            )
-            for kind, entry, line in arms
-        ]
-    )
-    wanted = parents.withColumn("_links", F.array_sort(F.array_distinct(F.array_compact(links))))
-    typed = child.filter(F.col(base[0]).isin([a[0] for a in arms]))
-    existing = typed.select(*[F.col(b).cast("bigint").alias(k) for b, k in zip(base, keys)]).distinct()
-
-    sets = wanted.select("_links").filter(F.size("_links") > 0).distinct()
-    each = sets.select("_links", F.explode("_links").alias("_link")).select("_links", "_link.*")
-    found = (
-        each.join(existing, keys)
-        .groupBy("_links")
-        .agg(F.collect_set(F.struct(*keys)).alias("_found"))
-        .withColumnRenamed("_links", "_links_found")
-    )
-    resolved = wanted.join(found, F.col("_links") == F.col("_links_found"), "left")
-    resolved = resolved.withColumn("_link", F.explode_outer("_found"))
+    typed = F.col(base[0]).isin([a[0] for a in arms])
+    present = child.lines.filter(typed).select(*[F.col(b).cast("bigint").alias(k) for b, k in zip(base, keys)])
+    rows, links = parents, []
+    for i, (kind, entry, line) in enumerate(arms):
+        of_kind = present.filter(F.col("_t") == kind).select(F.col("_e").alias(f"_e{i}"), F.col("_l").alias(f"_l{i}"))
+        of_kind = of_kind.distinct()
+        rows = rows.join(of_kind, (rows[entry] == of_kind[f"_e{i}"]) & (rows[line] == of_kind[f"_l{i}"]), "left")
+        link = F.struct(
+            F.lit(kind).cast("bigint").alias("_t"), F.col(f"_e{i}").alias("_e"), F.col(f"_l{i}").alias("_l")
+        )
+        links.append(F.when(F.col(f"_e{i}").isNotNull(), link))
+    found = F.array_distinct(F.array_compact(F.array(*links)))
+    resolved = rows.withColumn("_link", F.explode_outer(found))
     resolved = resolved.select(*parents.columns, *[F.col("_link")[k].alias(k) for k in keys])
-    return left_join(resolved, typed, list(zip(keys, base)), limit).drop(*keys)
+    on = list(zip(keys, base))
+    return left_join(resolved, child.rows.filter(typed), on, limit, child.lines.filter(typed)).drop(*keys)
 
 
 def document_index(headers: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
@@ -133,13 +148,14 @@ def lookup(
     right: DataFrame,
     on: list[tuple[str, str]],
     take: dict[str, str],
-    unique: bool = False,
+    unique: str | None = None,
     limit: int | None = None,
 ) -> DataFrame:
     """Left join that adds the ``take`` columns under new names.
 
-    Repeated right keys repeat left rows; ``unique=True`` raises on them instead.  No
-    broadcast is forced: Spark picks it from the measured size.
+    Repeated right keys repeat left rows.  ``unique="check"`` raises on them instead;
+    ``unique="given"`` says the key is a primary key or was just grouped by, so there is
+    nothing to check or split.  No broadcast is forced: Spark picks it from the measured size.
     """
     right_cols = {rk: f"_key_{i}" for i, (_, rk) in enumerate(on)}
     table = right.select(
@@ -147,9 +163,14 @@ def lookup(
         *[F.col(f"`{old}`").alias(new) for old, new in take.items()],
     )
     keys = list(right_cols.values())
-    if unique:
+    if unique == "check":
         assert_unique_key(table, keys)
-    return left_join(left, table, list(zip([lk for lk, _ in on], keys)), limit).drop(*keys)
+    pairs = list(zip([lk for lk, _ in on], keys))
+    if unique:
+        joined = left.join(table, reduce(lambda a, b: a & b, [left[lk] == table[k] for lk, k in pairs]), "left")
+    else:
+        joined = left_join(left, table, pairs, limit)
+    return joined.drop(*keys)
 
 
 def assert_unique_key(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -40,8 +40,14 @@ def _prefixed(df: DataFrame, keys: list[str], prefix: str, *extra: str) -> DataF
 
 
 def hot_groups(df: DataFrame, keys: list[str], limit: int | None = None) -> DataFrame | None:
-    """Keys with more than ``limit`` rows and their ``_rows``; None when there is none."""
+    """Keys with more than ``limit`` rows and their ``_rows``; None when there is none.
+
+    A table that is not larger than ``limit`` cannot hold such a key, so the plain count,
+    which needs no shuffle, comes first.
+    """
     limit = limit or hot_rows(df.sparkSession)
+    if df.count() <= limit:
+        return None
     found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
     if found.isEmpty():
         return None
@@ -136,18 +142,28 @@ def sums_before(
     return reduce(DataFrame.unionByName, parts)
 
 
-def left_join(left: DataFrame, right: DataFrame, on: list[tuple[str, str]], limit: int | None = None) -> DataFrame:
+def left_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: list[tuple[str, str]],
+    limit: int | None = None,
+    sizes: DataFrame | None = None,
+) -> DataFrame:
     """Left outer join whose right side may hold very many rows of one key.
 
     A skewed left side is split by AQE; a skewed right side of an outer join is not, so hot
     right keys are salted here.  A hot key is known to exist on the right, so every left row
     that carries it matches and its unmatched salts can be dropped.
+
+    ``sizes`` is a cheaper table with the same keys and rows per key as ``right``, used for
+    counting only.
     """
     limit = limit or hot_rows(right.sparkSession)
     lkeys, rkeys = [k for k, _ in on], [k for _, k in on]
-    usable = right.filter(_all([F.col(f"`{k}`").isNotNull() for k in rkeys]))
+    known = _all([F.col(f"`{k}`").isNotNull() for k in rkeys])
+    usable = right.filter(known)
     equal = [left[lk] == usable[rk] for lk, rk in on]
-    hot = hot_groups(usable, rkeys, limit)
+    hot = hot_groups(usable if sizes is None else sizes.filter(known), rkeys, limit)
     if hot is None:
         return left.join(usable, _all(equal), "left")
 

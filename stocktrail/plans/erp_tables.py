@@ -8,6 +8,7 @@ every rule something to act on.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -210,11 +211,28 @@ def source_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in SOURCES}
 
 
-def erp_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All ERP tables over the Parquet files in ``folder``, lazily."""
-    for name, df in source_tables(spark, folder).items():
-        df.createOrReplaceTempView(name)
-    return {name: spark.sql(text) for name, text in ERP_SQL.items()}
+class ErpTables(Mapping[str, DataFrame]):
+    """The ERP tables over the Parquet files in a folder, each analysed when first used."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark, self._built = spark, {}
+        for name, df in source_tables(spark, folder).items():
+            df.createOrReplaceTempView(name)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._spark.sql(ERP_SQL[name])
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(ERP_SQL)
+
+    def __len__(self) -> int:
+        return len(ERP_SQL)
+
+
+def erp_tables(spark: SparkSession, folder: str) -> ErpTables:
+    return ErpTables(spark, folder)
 
 
 def erp_ctes(*names: str) -> str:

@@ -15,6 +15,7 @@ from ..operators import aggregates, links, windows
 from ..operators.allocate import allocate_layers, allocation_totals
 from ..operators.collapse import collapse_repeated, split_by
 from ..operators.skew import left_join
+from ..runtime import materialize
 from ..sources import readers, writers
 from ..sources.schemas import schema
 from . import daily, ledger, netting, production, receipts, report, sales_orders
@@ -510,7 +511,7 @@ def header_line_join(spark, folder):
 
 
 def _invoiced(t):
-    inv = sales_orders._live(t, "OINV", "INV1", "inv")
+    inv = sales_orders.live_documents(t, "OINV", "INV1", "inv")
     orders = sales_orders.order_lines(t)
     return links.follow(orders, inv, "inv", sales_orders.ORDER, [("so_entry", "base_entry"), ("so_line", "base_line")])
 
@@ -527,7 +528,7 @@ def alternative_link_join(spark, folder):
     t = erp_tables(spark, folder)
     rows = links.alternative_link_join(
         _invoiced(t),
-        sales_orders._live(t, "ODLN", "DLN1", "dl"),
+        sales_orders.live_documents(t, "ODLN", "DLN1", "dl"),
         "dl",
         [(sales_orders.ORDER, "so_entry", "so_line"), (sales_orders.INVOICE, "inv_entry", "inv_line")],
     )
@@ -538,7 +539,7 @@ def alternative_link_join(spark, folder):
 @query
 def outer_side_cutoff(spark, folder):
     t = erp_tables(spark, folder)
-    dl = sales_orders._live(t, "ODLN", "DLN1", "dl")
+    dl = sales_orders.live_documents(t, "ODLN", "DLN1", "dl")
     on = [("so_entry", "base_entry"), ("so_line", "base_line")]
     rows = links.follow(sales_orders.order_lines(t), dl, "dl", sales_orders.ORDER, on)
     rows = rows.filter(fx.outer_side_cutoff(F.col("dl_created"), cutoff=day()))
@@ -588,7 +589,7 @@ def semi_join(spark, folder):
 @query
 def lookup_defaults(spark, folder):
     rows = table(spark, folder, "part").select(fx.prefix_key(F.concat(F.lit("A"), F.col("p_partkey").cast("string"))).alias("item_key"), "p_name")
-    got = links.lookup(rows, master(spark, folder), [("item_key", "item_key")], {"unique_code": "code"}, unique=True)
+    got = links.lookup(rows, master(spark, folder), [("item_key", "item_key")], {"unique_code": "code"}, unique="check")
     return got.withColumn("code", F.coalesce("code", "item_key"))
 
 
@@ -706,9 +707,10 @@ def _erp_stock(t):
 
 def _net_layers(spark, folder, missing):
     t = erp_tables(spark, folder)
-    held = windows.stock_at_cutoff(_erp_stock(t), "item", "created", F.col("qty_in"), F.col("qty_out"), day())
-    sales = sales_orders.sales_order_balance(sales_orders.sales_order_trace(t, CUTOFF), CUTOFF)
-    made = production.production_order_balance(t, CUTOFF)
+    moved = (F.col("qty_in"), F.col("qty_out"))
+    held = materialize(windows.stock_at_cutoff(_erp_stock(t), "item", "created", *moved, day()))
+    sales = materialize(sales_orders.sales_order_balance(sales_orders.sales_order_trace(t, CUTOFF), CUTOFF))
+    made = materialize(production.production_order_balance(t, CUTOFF))
     return netting.net_layers(receipts.inbound_receipts(t, CUTOFF), held, sales, made, missing)
 
 

@@ -17,7 +17,7 @@ from ..functions import (
     outer_side_cutoff,
     voided_or_missing,
 )
-from ..operators.links import alternative_link_join, document_lines, follow
+from ..operators.links import Documents, alternative_link_join, document_lines, documents, follow
 
 Tables = Mapping[str, DataFrame]
 
@@ -56,9 +56,9 @@ def order_lines(t: Tables) -> DataFrame:
     )
 
 
-def _live(t: Tables, header: str, line: str, prefix: str, extra: dict[str, str] | None = None) -> DataFrame:
+def live_documents(t: Tables, header: str, line: str, prefix: str, extra: dict[str, str] | None = None) -> Documents:
     """Follow-up lines; only a header that is not cancelled is attached."""
-    return document_lines(t[header], t[line], prefix, _HEAD, {**_LINE, **(extra or {})}, F.col("CANCELED") == "N")
+    return documents(t[header], t[line], prefix, _HEAD, {**_LINE, **(extra or {})}, F.col("CANCELED") == "N")
 
 
 def sales_order_trace(t: Tables, cutoff: dt.date, late_docs: str = "drop") -> DataFrame:
@@ -71,22 +71,22 @@ def sales_order_trace(t: Tables, cutoff: dt.date, late_docs: str = "drop") -> Da
     if late_docs not in ("drop", "ignore"):
         raise ValueError(f"unknown late_docs {late_docs!r}")
     day = F.lit(cutoff)
-    delivery, returned = _live(t, "ODLN", "DLN1", "dl"), _live(t, "ORDN", "RDN1", "rt")
+    delivery, returned = live_documents(t, "ODLN", "DLN1", "dl"), live_documents(t, "ORDN", "RDN1", "rt")
     if late_docs == "ignore":
-        delivery = delivery.filter(F.col("dl_created").isNull() | (F.col("dl_created") <= day))
-        returned = returned.filter(F.col("rt_created").isNull() | (F.col("rt_created") <= day))
-    credit = _live(t, "ORIN", "RIN1", "cn", {"DropShip": "drop_ship"}).filter(F.col("cn_drop_ship") == "N")
+        delivery = delivery.where_header(F.col("dl_created").isNull() | (F.col("dl_created") <= day))
+        returned = returned.where_header(F.col("rt_created").isNull() | (F.col("rt_created") <= day))
+    credit = live_documents(t, "ORIN", "RIN1", "cn", {"DropShip": "drop_ship"}).where_line(F.col("cn_drop_ship") == "N")
     by_delivery = [("dl_entry", "base_entry"), ("dl_line", "base_line")]
 
     rows = follow(
-        order_lines(t), _live(t, "OINV", "INV1", "inv"), "inv", ORDER, [("so_entry", "base_entry"), ("so_line", "base_line")]
+        order_lines(t), live_documents(t, "OINV", "INV1", "inv"), "inv", ORDER, [("so_entry", "base_entry"), ("so_line", "base_line")]
     )
     rows = alternative_link_join(
         rows, delivery, "dl", [(ORDER, "so_entry", "so_line"), (INVOICE, "inv_entry", "inv_line")]
     )
     if late_docs == "drop":
         rows = rows.filter(outer_side_cutoff(F.col("dl_created"), cutoff=day))
-    rows = follow(rows, _live(t, "OINV", "INV1", "di"), "di", DELIVERY, by_delivery)
+    rows = follow(rows, live_documents(t, "OINV", "INV1", "di"), "di", DELIVERY, by_delivery)
     rows = alternative_link_join(
         rows,
         credit,
@@ -190,8 +190,8 @@ def _head_type(trace: DataFrame) -> str:
 CREDIT, CASH = "Credito", "Contado"
 
 
-def _flagged(t: Tables, header: str, line: str, prefix: str) -> DataFrame:
-    return document_lines(
+def _flagged(t: Tables, header: str, line: str, prefix: str) -> Documents:
+    return documents(
         t[header],
         t[line],
         prefix,
