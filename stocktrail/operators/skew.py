@@ -142,6 +142,30 @@ def sums_before(
     return reduce(DataFrame.unionByName, parts)
 
 
+SPREAD = 1024
+SPREAD_COLUMNS = 4
+
+
+def _leading(df: DataFrame, keys: list[str]) -> list[Column]:
+    atomic = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType) and f.name not in keys]
+    return [F.col(f"`{c}`") for c in atomic[:SPREAD_COLUMNS]] or [F.lit(0)]
+
+
+def spread_null_keys(left: DataFrame, right: DataFrame, lkeys: list[str], rkeys: list[str]):
+    """Give both sides one more join key that scatters left rows with a null key.
+
+    Such rows match nothing, but would all be shuffled to one task.  Rows with a full key get
+    0, as does every right row; the right value is computed from the key so that it stays a
+    join key and is not folded away.  The scatter hashes the leading columns, where tables
+    carry their identity; hashing all would defeat column pruning.
+    """
+    missing = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in lkeys])
+    scatter = F.pmod(F.xxhash64(*_leading(left, lkeys)), F.lit(SPREAD)) + 1
+    left = left.withColumn("_lspread", F.when(missing, scatter).otherwise(F.lit(0).cast("bigint")))
+    zero = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in rkeys]), F.lit(1))
+    return left, right.withColumn("_rspread", zero)
+
+
 def left_join(
     left: DataFrame,
     right: DataFrame,
@@ -151,8 +175,8 @@ def left_join(
 ) -> DataFrame:
     """Left outer join whose right side may hold very many rows of one key.
 
-    A skewed left side is split by AQE; a skewed right side of an outer join is not, so hot
-    right keys are salted here.  A hot key is known to exist on the right, so every left row
+    A skewed left side is split by AQE, and left rows without a key are scattered; a skewed
+    right side of an outer join is not split, so hot right keys are salted here.  A hot key is known to exist on the right, so every left row
     that carries it matches and its unmatched salts can be dropped.
 
     ``sizes`` is a cheaper table with the same keys and rows per key as ``right``, used for
@@ -162,10 +186,12 @@ def left_join(
     lkeys, rkeys = [k for k, _ in on], [k for _, k in on]
     known = _all([F.col(f"`{k}`").isNotNull() for k in rkeys])
     usable = right.filter(known)
-    equal = [left[lk] == usable[rk] for lk, rk in on]
     hot = hot_groups(usable if sizes is None else sizes.filter(known), rkeys, limit)
+    left, usable = spread_null_keys(left, usable, lkeys, rkeys)
+    on = [*on, ("_lspread", "_rspread")]
     if hot is None:
-        return left.join(usable, _all(equal), "left")
+        joined = left.join(usable, _all([left[lk] == usable[rk] for lk, rk in on]), "left")
+        return joined.drop("_lspread", "_rspread")
 
     salts = hot.withColumn("_salts", F.ceil(F.col("_rows") / F.lit(limit)).cast("int"))
     for_right = F.broadcast(_prefixed(salts, rkeys, "_hot_", "_salts"))
@@ -178,7 +204,7 @@ def left_join(
     salted = hot_side.unionByName(cold_side).drop("_salts").withColumn("_hit", F.lit(True))
 
     for_left = F.broadcast(_prefixed(salts, rkeys, "_hot_", "_salts"))
-    same = _all([left[lk] == for_left["_hot_" + rk] for lk, rk in on])
+    same = _all([left[lk] == for_left["_hot_" + rk] for lk, rk in zip(lkeys, rkeys)])
     repeated = left.join(for_left, same, "left").drop(*["_hot_" + k for k in rkeys])
     repeated = repeated.withColumn(
         "_lsalt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
@@ -186,4 +212,4 @@ def left_join(
     equal = [repeated[lk] == salted[rk] for lk, rk in on]
     joined = repeated.join(salted, _all([*equal, repeated["_lsalt"] == salted["_rsalt"]]), "left")
     kept = joined.filter(F.col("_hit").isNotNull() | F.col("_salts").isNull())
-    return kept.drop("_lsalt", "_rsalt", "_hit", "_salts")
+    return kept.drop("_lsalt", "_rsalt", "_hit", "_salts", "_lspread", "_rspread")

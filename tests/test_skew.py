@@ -194,3 +194,19 @@ def test_allocation_equals_loop(spark, strict, limit, seed):
             offered = sum(q or 0 for k, _, q in layers if k == item)
             if want > 0 and item in totals:
                 assert totals[item] == min(want, offered)
+
+
+def test_null_keys_are_scattered(spark):
+    """Left rows without a key go to many partitions and come back once each."""
+    left = spark.createDataFrame([(None, i) for i in range(200)] + [(1, 500)], "a int, i int")
+    right = spark.createDataFrame([(1, 7), (1, 8), (None, 9)], "b int, v int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = left_join(left, right, [("a", "b")])
+        sizes = [r["n"] for r in got.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+        assert rows_of(got, "a", "i", "v") == Counter([(None, i, None) for i in range(200)] + [(1, 500, 7), (1, 500, 8)])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(sizes) < 100
