@@ -61,7 +61,7 @@ def split_hot(df: DataFrame, keys: list[str], hot: DataFrame) -> tuple[DataFrame
     return df.join(marked, same, "left_semi"), df.join(marked, same, "left_anti")
 
 
-def _tie_break(df: DataFrame, keys: list[str]) -> list[Column]:
+def tie_break(df: DataFrame, keys: list[str]) -> list[Column]:
     """All remaining columns that can be ordered, so that equal order keys sort the same on a retry."""
     unordered = (T.MapType, T.VariantType)
     return [F.col(f"`{f.name}`") for f in df.schema if f.name not in keys and not isinstance(f.dataType, unordered)]
@@ -75,7 +75,7 @@ def ordered_blocks(df: DataFrame, keys: list[str], order: list[Column], rows: in
     borders come from sampling and must not be drawn twice.
     """
     wanted = min(MAX_BLOCKS, max(2, -(-2 * rows // limit)))
-    by = [*[F.col(f"`{k}`") for k in keys], *order, *_tie_break(df, keys)]
+    by = [*[F.col(f"`{k}`") for k in keys], *order, *tie_break(df, keys)]
     spread = df.sortWithinPartitions(*by).withColumn("_copy", F.monotonically_increasing_id())
     ranged = spread.repartitionByRange(wanted, *by, F.col("_copy"))
     return materialize(ranged.withColumn(BLOCK, F.spark_partition_id()))
@@ -83,7 +83,7 @@ def ordered_blocks(df: DataFrame, keys: list[str], order: list[Column], rows: in
 
 def row_order(order: list[Column], blocks: DataFrame, keys: list[str]) -> list[Column]:
     """The total order used inside blocks."""
-    return [*order, *_tie_break(blocks.drop(BLOCK), keys)]
+    return [*order, *tie_break(blocks.drop(BLOCK), keys)]
 
 
 def before(keys: list[str], order: list[Column]):
@@ -118,14 +118,14 @@ def sums_before(
 ) -> DataFrame:
     """Add, per row, the sum of each expression over the rows ahead of it in its group.
 
-    With no keys the whole table is one group, which is how global numbering is done.
+    With no keys the whole table is one group.
     """
     limit = limit or hot_rows(df.sparkSession)
     hot = hot_groups(df, keys, limit)
     hot_part, plain = (None, df) if hot is None else split_hot(df, keys, hot) if keys else (df, None)
     parts = []
     if plain is not None:
-        frame = before(keys, [*order, *_tie_break(df, keys)])
+        frame = before(keys, [*order, *tie_break(df, keys)])
         parts.append(plain.select("*", *[total_before(c, frame).alias(n) for n, c in sums.items()]))
     if hot_part is not None:
         rows = hot.agg(F.sum("_rows")).first()[0]
@@ -198,7 +198,7 @@ def left_join(
     same = _all([usable[k] == for_right["_hot_" + k] for k in rkeys])
     marked = usable.join(for_right, same, "left").drop(*["_hot_" + k for k in rkeys])
     hot_side = marked.filter(F.col("_salts").isNotNull())
-    hot_side = hot_side.sortWithinPartitions(*[F.col(f"`{k}`") for k in rkeys], *_tie_break(usable, rkeys))
+    hot_side = hot_side.sortWithinPartitions(*[F.col(f"`{k}`") for k in rkeys], *tie_break(usable, rkeys))
     hot_side = hot_side.withColumn("_rsalt", F.pmod(F.monotonically_increasing_id(), F.col("_salts")).cast("int"))
     cold_side = marked.filter(F.col("_salts").isNull()).withColumn("_rsalt", F.lit(0))
     salted = hot_side.unionByName(cold_side).drop("_salts").withColumn("_hit", F.lit(True))

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import snap_zero
-from ..runtime import hot_rows
-from .skew import BLOCK, attach_offsets, before, hot_groups, ordered_blocks, split_hot, sums_before
+from ..runtime import hot_rows, materialize
+from .skew import BLOCK, attach_offsets, before, hot_groups, ordered_blocks, split_hot, tie_break, total_before
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -22,10 +22,38 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def number_rows(df: DataFrame, order: list[Column], name: str = "receipt_no", limit: int | None = None) -> DataFrame:
-    """Number all rows of the table from 1 in the given order."""
-    numbered = sums_before(df, [], order, {name: F.lit(1)}, limit)
-    return numbered.withColumn(name, (F.col(name) + 1).cast("bigint"))
+POSITION_BITS = 33
+
+
+def number_rows(
+    df: DataFrame,
+    order: list[Column],
+    name: str = "receipt_no",
+    parts: int | None = None,
+    distinct_order: bool = False,
+) -> DataFrame:
+    """Number all rows of the table from 1 in the given order, without a one-task window.
+
+    Rows are range-partitioned and sorted; the position inside the partition comes with the
+    row id Spark gives there, and the partition's offset from the sizes of the ones ahead.
+    The placed rows are a written table, because range borders are sampled and must not be
+    drawn twice.  ``distinct_order`` promises that the order tells all rows apart; otherwise
+    the other columns break ties, and exact copies are spread by their local position.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by, source = order, df
+    if not distinct_order:
+        full = [*order, *tie_break(df, [])]
+        source = df.sortWithinPartitions(*full).withColumn("_copy", F.monotonically_increasing_id())
+        by = [*full, F.col("_copy")]
+    placed = source.repartitionByRange(parts, *by).sortWithinPartitions(*by).drop("_copy")
+    written = materialize(placed.withColumn("_at", F.monotonically_increasing_id()))
+    block = F.shiftright("_at", POSITION_BITS)
+    local = F.col("_at").bitwiseAND((1 << POSITION_BITS) - 1)
+    sizes = written.groupBy(block.alias(BLOCK)).agg(F.count(F.lit(1)).alias("_rows"))
+    ahead = sizes.select(BLOCK, total_before(F.col("_rows"), before([], [F.col(BLOCK)])).alias("_ahead"))
+    joined = written.withColumn("_in", block).join(F.broadcast(ahead), F.col("_in") == F.col(BLOCK))
+    return joined.select(*df.columns, (F.col("_ahead") + local + 1).cast("bigint").alias(name))
 
 
 def net_by_day(ledger: DataFrame, item: str, day: str, qty_in: Column, qty_out: Column) -> DataFrame:

@@ -62,17 +62,25 @@ def test_null_key_is_a_group(spark):
     assert rows_of(got, "k", "o", "ahead") == want
 
 
-@pytest.mark.parametrize("limit", [LIMIT, 10_000])
-def test_number_rows(spark, limit):
+@pytest.mark.parametrize("parts", [1, 7, None])
+def test_number_rows(spark, parts):
     values = list(range(500)) + [7] * 100
     random.Random(2).shuffle(values)
     df = spark.createDataFrame([(v,) for v in values], "v int").repartition(6)
-    got = number_rows(df, [F.col("v").desc_nulls_last()], "n", limit)
+    got = number_rows(df, [F.col("v").desc_nulls_last()], "n", parts)
     pairs = sorted((r["n"], r["v"]) for r in got.collect())
     assert [n for n, _ in pairs] == list(range(1, 601))
     assert [v for _, v in pairs] == sorted(values, reverse=True)
 
 
+def test_number_rows_with_distinct_order(spark):
+    df = spark.range(1000).repartition(5).withColumn("w", F.col("id") % 3)
+    got = number_rows(df, [F.col("w").desc(), F.col("id")], "n", distinct_order=True)
+    rows = got.orderBy("n").collect()
+    assert [r["n"] for r in rows] == list(range(1, 1001))
+    assert [(r["w"], r["id"]) for r in rows] == sorted(((i % 3, i) for i in range(1000)), key=lambda p: (-p[0], p[1]))
+
+
 def python_fill(data, backward):
     out, groups = [], defaultdict(list)
     for row in data:
