@@ -189,7 +189,6 @@ def head_tail_trend(series: DataFrame, day: str, value: str, n: int = 7) -> Data
 
 
 __all__ = [
-    "before",
     "fill_gaps",
     "fill_within_group",
     "first_per_key",
