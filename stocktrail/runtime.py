@@ -1,14 +1,14 @@
-"""Session helpers: shared scratch folder, written intermediate tables, size threshold."""
+"""Session helpers: run folder, written intermediate tables, size threshold."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 HOT_ROWS_CONF = "spark.stocktrail.hotRows"
 DEFAULT_HOT_ROWS = 1_000_000
+WORK_DIR_CONF = "spark.stocktrail.workDir"
 
 
 def hot_rows(spark: SparkSession) -> int:
@@ -17,26 +17,36 @@ def hot_rows(spark: SparkSession) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``, or a temp folder in local mode."""
+    """Folder of this application that every executor can reach.
+
+    It lies below ``spark.stocktrail.workDir``, else ``spark.checkpoint.dir``, else the warehouse,
+    which Spark shares between driver and executors; no setting of the session is changed.
+    """
     sc = spark.sparkContext
-    folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if sc.getCheckpointDir():
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    base = (
+        spark.conf.get(WORK_DIR_CONF, None)
+        or spark.conf.get("spark.checkpoint.dir", None)
+        or sc.getConf().get("spark.checkpoint.dir")
+        or spark.conf.get("spark.sql.warehouse.dir", None)
+    )
+    if not base:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="stocktrail-"))
-    return sc.getCheckpointDir()
+    return f"{base.rstrip('/')}/stocktrail/{sc.applicationId}"
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back.
+    """Write ``df`` once as Parquet in the run's folder and read it back.
 
     Unlike a cached result this survives lost executors, and readers still get
     column pruning and filter pushdown.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/stocktrail/{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_work(spark: SparkSession) -> None:
+    """Delete what this application wrote with `materialize`; frames built on it are void then."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
