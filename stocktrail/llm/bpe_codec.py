@@ -6,6 +6,7 @@ import hashlib
 import struct
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from stocktrail.llm import tokenizer_files as tf
@@ -128,6 +129,12 @@ def _ready(shared) -> tuple:
     return _ENCODERS[key]
 
 
+def _lists(packed: list[bytes]) -> pa.Array:
+    """Packed ids of each row as one Arrow list column."""
+    ends = np.cumsum([0, *(len(ids) // 4 for ids in packed)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), "<i4")))
+
+
 def encode_texts(df: DataFrame, text: str, vocabulary: str, ids: str = "ids", drop=()) -> DataFrame:
     """Add column ``ids``: array of token ids of each whole text.
 
@@ -139,9 +146,9 @@ def encode_texts(df: DataFrame, text: str, vocabulary: str, ids: str = "ids", dr
 
     def start():
         _, encode = _ready(shared)
-        return lambda texts: [[np.frombuffer(encode(t or ""), "<u4").tolist() for t in texts]]
+        return lambda texts: [_lists([encode(t or "") for t in texts])]
 
-    return append_columns(df, [text], f"`{ids}` array<bigint>", start, drop)
+    return append_columns(df, [text], f"`{ids}` array<int>", start, drop)
 
 
 def decode_ids(df: DataFrame, ids: str, vocabulary: str, text: str = "decoded", drop=()) -> DataFrame:
@@ -155,27 +162,27 @@ def decode_ids(df: DataFrame, ids: str, vocabulary: str, text: str = "decoded",
     return append_columns(df, [ids], f"`{text}` string", start, drop)
 
 
-def round_trip_digests(df: DataFrame, text: str, vocabulary: str, drop=()) -> DataFrame:
+def round_trip_digests(df: DataFrame, text: str, vocabulary: str, ids: str | None = None, drop=()) -> DataFrame:
     """Encode each text, decode its ids, and add n_tokens, ids_sha256 and decoded_sha256.
 
-    One pass: neither the ids nor the decoded text leave the worker. Rows are treated as in
-    `encode_texts`; of columns that are already named like the new ones, the new ones stay.
+    One pass; the ids leave the worker only if a column name for them is given. Rows are treated
+    as in `encode_texts`; of columns that are already named like the new ones, the new ones stay.
     """
     shared = tf.share(df.sparkSession, vocabulary)
 
     def start():
         bpe, encode = _ready(shared)
 
-        def work(texts: list[str | None]) -> list[list]:
-            count, ids_sha, text_sha = [], [], []
-            for t in texts:
-                ids = encode(t or "")
-                count.append(len(ids) // 4)
-                ids_sha.append(hashlib.sha256(ids).hexdigest())
-                text_sha.append(hashlib.sha256(decode(bpe, ids).encode()).hexdigest())
-            return [count, ids_sha, text_sha]
+        def work(texts: list[str | None]) -> list:
+            packed = [encode(t or "") for t in texts]
+            columns = [
+                [len(p) // 4 for p in packed],
+                [hashlib.sha256(p).hexdigest() for p in packed],
+                [hashlib.sha256(decode(bpe, p).encode()).hexdigest() for p in packed],
+            ]
+            return [*columns, _lists(packed)] if ids else columns
 
         return work
 
     fields = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return append_columns(df, [text], fields, start, drop)
+    return append_columns(df, [text], fields + (f", `{ids}` array<int>" if ids else ""), start, drop)

@@ -39,7 +39,8 @@ def append_columns(
         for batch in batches:
             texts = [batch.column(width + i).to_pylist() for i in range(count)]
             columns = work(*texts)
-            made = [pa.array(c, arrow.field(width + i).type) for i, c in enumerate(columns)]
+            types = [arrow.field(width + i).type for i in range(len(columns))]
+            made = [c.cast(t) if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:width], *made], names=out.fieldNames())
 
     return df.mapInArrow(run, out)

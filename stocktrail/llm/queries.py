@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocktrail.llm.bpe_codec import round_trip_digests
-from stocktrail.llm.common import read_table
+from stocktrail.llm import html_text, quality_gam, secret_scan, url_filter
+from stocktrail.llm.common import held_out, read_table
 from stocktrail.llm.decontaminate import find_contamination, hit_words
 from stocktrail.llm.simhash_dedup import hex_digits, near_duplicate_classes
 from stocktrail.llm.token_counts import count_tokens
@@ -24,11 +25,47 @@ def op3_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip_digests(documents(spark, folder), "text", path, drop=["text"])
 
 
+def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read_table(spark, folder, "pages").select("page_id", "url", "html")
+    model = html_text.train(pages)
+    return html_text.extract(pages, "html", model, drop=["html"]).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.find_secrets(documents(spark, folder), "text", drop=["text"])
+    kinds = {f"n_{k}": F.size(F.filter("secrets", lambda s, k=k: s["kind"] == k)).cast("bigint") for k in secret_scan.BASE_KINDS}
+    base = F.filter("secrets", lambda s: s["kind"].isin(*secret_scan.BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *[count.alias(name) for name, count in kinds.items()],
+        F.sha2(secret_scan.written(base), 256).alias("base_sha256"),
+        secret_scan.written(F.col("secrets")).alias("spans"),
+    )
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
     return count_tokens(documents(spark, folder), "text", path, drop=["text"])
 
 
+# Explicit rules of the URL query: verdict, then host and path.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def labelled_urls(spark: SparkSession, folder: str) -> DataFrame:
+    """Page URLs that end in the number of a labelled document, which is bad if of low quality or toxic."""
+    number = F.regexp_extract(url_filter.path(F.col("url")), r"([0-9]{1,18})(?:\.[A-Za-z0-9]+)?/?$", 1)
+    urls = read_table(spark, folder, "pages").select("url", number.alias("n"))
+    labels = read_table(spark, folder, "labels").select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    return urls.where("n <> ''").join(labels, F.col("n").cast("bigint") == F.col("doc_id")).select("url", "bad")
+
+
+def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read_table(spark, folder, "pages").select("page_id", "url")
+    judged = url_filter.judge(pages, "url", labelled_urls(spark, folder), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "mined")
+
+
 def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = find_contamination(documents(spark, folder), "text", read_table(spark, folder, "benchmark"), drop=["text"])
     n_hit = hit_words()
@@ -47,9 +84,25 @@ def op9_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return classes.select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    model = quality_gam.train(docs, read_table(spark, folder, "labels"))
+    scored = quality_gam.score(docs, "text", model, drop=["text"])
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality_gam.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op3_bpe_codec": op3_bpe_codec,
+    "op4_html_text": op4_html_text,
+    "op5_secret_scan": op5_secret_scan,
     "op6_token_counts": op6_token_counts,
+    "op7_url_filter": op7_url_filter,
     "op8_decontaminate": op8_decontaminate,
     "op9_simhash_dedup": op9_simhash_dedup,
+    "op10_quality": op10_quality,
 }

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stocktrail.llm.common import append_columns
@@ -244,6 +244,27 @@ def connect(edges: DataFrame) -> DataFrame:
         before = state
 
 
+def fingerprint_rows(df: DataFrame, doc_id: str, text: str, words: int = 4, seed: int = 42) -> DataFrame:
+    """doc_id and fp of every row, written once so that texts are read and hashed a single time."""
+    rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("__text"))
+    return materialize(fingerprints(rows, "__text", words, seed, drop=["__text"]))
+
+
+def classes(rows: DataFrame, distance: int = 4, run_rows: int = RUN_ROWS) -> DataFrame:
+    """fp, root and component_id of each distinct fingerprint of (doc_id, fp) rows.
+
+    root is the least fingerprint of the class as a signed number, component_id its least id.
+    Rows with equal fingerprints are one node, so copies cost nothing beyond one aggregate.
+    """
+    nodes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    roots = connect(links(nodes.select("fp"), distance, run_rows))
+    nodes = nodes.join(roots, nodes.fp == roots.node, "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
+    least = nodes.groupBy("root").agg(F.min("first").alias("component_id"))
+    return materialize(nodes.join(least, "root").select("fp", "root", "component_id"))
+
+
 def near_duplicate_classes(
     df: DataFrame, doc_id: str, text: str, distance: int = 4, words: int = 4, seed: int = 42, run_rows: int = RUN_ROWS
 ) -> DataFrame:
@@ -254,19 +275,26 @@ def near_duplicate_classes(
     fingerprint 0 and are linked like others. A row without an id gets its class's least id, null
     if no row of the class has one. Repeated rows are all returned; further columns of ``df``
     are not; an empty table gives an empty table.
+    """
+    rows = fingerprint_rows(df, doc_id, text, words, seed)
+    return rows.join(classes(rows, distance, run_rows), "fp").select("doc_id", "fp", "component_id")
 
-    Rows with equal fingerprints are one node, so copies cost nothing beyond one aggregate.
+
+def keep_one(df: DataFrame, doc_id: str, text: str, distance: int = 4) -> DataFrame:
+    """Rows of ``df`` with one row of each near-duplicate class: that of the least id.
+
+    Rows without an id come after all others; of repeated rows with the same id one stays. All
+    columns of ``df`` pass through.
     """
-    rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("__text"))
-    rows = materialize(fingerprints(rows, "__text", words, seed, drop=["__text"]))
-    nodes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = connect(links(nodes.select("fp"), distance, run_rows))
-    nodes = nodes.join(roots, nodes.fp == roots.node, "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
-    least = nodes.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = materialize(nodes.join(least, "root").select("fp", "component_id"))
-    return rows.join(classes, "fp").select("doc_id", "fp", "component_id")
+    rows = fingerprint_rows(df, doc_id, text)
+    of_class = rows.join(classes(rows, distance).select("fp", "root"), "fp")
+    first = of_class.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp")).alias("w"))
+    winners = first.select(F.col("w.doc_id").alias("__id"), F.col("w.fp").alias("__wfp"))
+    packed = df.select(F.struct("*").alias("__row"), F.col(doc_id).alias("__doc"), F.col(text).alias("__text"))
+    marked = fingerprints(packed, "__text", drop=["__text"])
+    kept = marked.join(winners, F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("fp") == F.col("__wfp")))
+    rank = F.row_number().over(Window.partitionBy("__id", "__wfp").orderBy(F.col("__row").getField(text)))
+    return kept.withColumn("__n", rank).where("__n = 1").select("__row.*")
 
 
 def hex_digits(fp: Column) -> Column:
