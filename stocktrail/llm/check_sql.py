@@ -48,4 +48,19 @@ left join hit h on h.doc_id = d.doc_id
 left join items i on i.doc_id = d.doc_id
 """
 
-SQL = {"op8_decontaminate": OP8}
+# Every query against every row, bit by bit.
+OP1 = """
+with codes as (
+    select vec_id, list_transform(embedding, lambda x: x > 0) as bits from embeddings
+), pairs as (
+    select q.vec_id as query_id, b.vec_id,
+           len(list_filter(list_zip(q.bits, b.bits), lambda p: p[1] <> p[2])) as distance
+    from codes q, codes b
+    where q.vec_id % 50 = 0
+)
+select query_id, cast(rank as int) as rank, vec_id, cast(distance as int) as distance
+from (select *, row_number() over (partition by query_id order by distance, vec_id) as rank from pairs)
+where rank <= 10
+"""
+
+SQL = {"op1_topk_search": OP1, "op8_decontaminate": OP8}

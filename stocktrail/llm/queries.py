@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocktrail.llm.bpe_codec import round_trip_digests
-from stocktrail.llm import html_text, quality_gam, secret_scan, url_filter
+from stocktrail.llm import chunk_dedup, hamming_search, html_text, quality_gam, secret_scan, url_filter
 from stocktrail.llm.common import held_out, read_table
 from stocktrail.llm.decontaminate import find_contamination, hit_words
 from stocktrail.llm.simhash_dedup import hex_digits, near_duplicate_classes
@@ -20,6 +20,20 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "documents").select("doc_id", "text")
 
 
+def op1_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest sign codes, by Hamming distance, to every row whose id is divisible by 50."""
+    vectors = read_table(spark, folder, "embeddings")
+    bits = vectors.agg(F.max(F.size("embedding"))).first()[0] or 1
+    codes = vectors.select("vec_id", hamming_search.sign_code(F.col("embedding"), bits).alias("code"))
+    queries = codes.where("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
+    return hamming_search.top_k(codes, queries, 10, bits)
+
+
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = chunk_dedup.repeated_passages(documents(spark, folder), "doc_id", "text")
+    return found.select("doc_id", "start", "end", "n_chunks", "first_here", "first_doc_id")
+
+
 def op3_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
     return round_trip_digests(documents(spark, folder), "text", path, drop=["text"])
@@ -33,11 +47,12 @@ def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.find_secrets(documents(spark, folder), "text", drop=["text"])
-    kinds = {f"n_{k}": F.size(F.filter("secrets", lambda s, k=k: s["kind"] == k)).cast("bigint") for k in secret_scan.BASE_KINDS}
+    names = F.transform("secrets", lambda s: s["kind"])
+    count = lambda kind: F.size(F.filter(names, lambda k: k == kind)).cast("bigint")
     base = F.filter("secrets", lambda s: s["kind"].isin(*secret_scan.BASE_KINDS))
     return found.select(
         "doc_id",
-        *[count.alias(name) for name, count in kinds.items()],
+        *[count(kind).alias(f"n_{kind}") for kind in secret_scan.BASE_KINDS],
         F.sha2(secret_scan.written(base), 256).alias("base_sha256"),
         secret_scan.written(F.col("secrets")).alias("spans"),
     )
@@ -97,6 +112,8 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_topk_search": op1_topk_search,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_bpe_codec": op3_bpe_codec,
     "op4_html_text": op4_html_text,
     "op5_secret_scan": op5_secret_scan,

@@ -10,6 +10,7 @@ from stocktrail.runtime import materialize
 
 MIN_SUPPORT = 0.002  # share of labelled URLs that a token combination needs
 MIN_CONFIDENCE = 0.6  # share of them that are labelled block
+MIN_EXAMPLES = 10  # labelled URLs that a token combination needs, however small the share
 BLOCK = "label:block"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -72,10 +73,11 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     examples there are no rules.
     """
     known = labelled.where(F.col("url").isNotNull() & F.col("bad").isNotNull())
-    label = F.when("bad", F.array(F.lit(BLOCK))).otherwise(F.array().cast("array<string>"))
+    label = F.when(F.col("bad"), F.array(F.lit(BLOCK))).otherwise(F.array().cast("array<string>"))
     baskets = materialize(known.select(F.concat(tokens(F.col("url")), label).alias("items")).where(F.size("items") > 0))
     empty = baskets.sparkSession.createDataFrame([], "antecedent array<string>, confidence double, support double")
-    if baskets.isEmpty():
+    min_support = max(min_support, MIN_EXAMPLES / max(1, baskets.count()))
+    if min_support > 1:
         return empty
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
     found = materialize(
