@@ -25,7 +25,7 @@ NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+
 NAME_WORD = re.compile(r"[a-zA-Z]+")
 WORD = re.compile(r"\w+")
 
-PATH_SLOTS, WORD_SLOTS, SHAPE = 96, 32, 6
+PATH_SLOTS, WORD_SLOTS, SHAPE = 256, 32, 6
 WIDTH = PATH_SLOTS + WORD_SLOTS + SHAPE
 
 

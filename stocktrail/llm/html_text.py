@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from stocktrail.llm.common import append_columns
 from stocktrail.llm.html_blocks import WIDTH, blocks, vector
 
-SAMPLE = 300  # pages the labeller is trained on, at most
+SAMPLE = 160  # pages the labeller is trained on, at most
+VARIANTS = 8  # training pages of other layouts made of each
 SEQUENCE = 48  # blocks of one training sequence
 PAGE_BLOCKS = 96  # blocks of a sampled page that become training sequences, at most
 HIDDEN = 12
-EPOCHS = 14
+EPOCHS = 12
 BATCH = 64  # pages labelled at a time
 CELLS = 8192  # padded blocks labelled at a time, unless one page alone has more
 SEED = 7
@@ -31,6 +32,7 @@ SIDE_NAMES = (
     "c:share", "c:social", "c:footer", "c:header", "c:comment", "c:comments", "c:reply", "c:discussion", "i:comments",
     "i:sidebar", "i:nav", "i:menu", "i:footer", "i:header", "i:ad", "i:ads", "i:cookie",
 )
+LEAVES = ("<h1>", "<h2>", "<h3>", "<p>", "<li>", "<blockquote>", "<td>", "<pre>")
 _MAIN, _SIDE = frozenset(MAIN_NAMES), frozenset(SIDE_NAMES)
 
 
@@ -58,15 +60,17 @@ def training_pages(page: str | None) -> list[list[tuple[tuple[str, ...], str, in
     pages = [rows]
     rng = random.Random(len(page))
     words = [w for _, text, _, _ in rows for w in text.split()]
-    for _ in range(2):
+    for _ in range(VARIANTS):
         other = rng.choice(MAIN_NAMES)
         root = ("<div>", other) if other[0] != "<" else (other,)
         variant = []
         for path, text, linked, label in rows:
             if label and marked:
                 path = tuple(n for name in path for n in (root if name in _MAIN else (name,)))
+            if label and rng.random() < 0.15:  # headings and short lines belong to articles, too
+                text, path = " ".join(text.split()[: rng.randint(1, 5)]), (*path[:-1], rng.choice(LEAVES))
             variant.append((path, text, linked, label))
-        for _ in range(rng.randint(2, 6)):
+        for _ in range(rng.randint(4, 9)):
             side = rng.choice(SIDE_NAMES)
             place = rng.randint(0, len(variant))
             near = variant[place - 1][0] if place else ("<html>", "<body>")
@@ -76,7 +80,7 @@ def training_pages(page: str | None) -> list[list[tuple[tuple[str, ...], str, in
             leaf = rng.choice(((), ("<p>",), ("<ul>", "<li>"), ("<div>",), ("<p>", "<a>"), ("<h2>",), ("<span>",)))
             for _ in range(rng.randint(1, 4)):
                 at = rng.randrange(len(words))
-                text = " ".join(words[at : at + rng.choice((1, 2, 5, 12, 30))])
+                text = " ".join(words[at : at + rng.choice((1, 2, 5, 12, 30, 60))])
                 linked = len(text) if "<a>" in leaf else 0
                 variant.insert(place, ((*above, *box, *leaf), text, linked, False))
         pages.append(variant)
@@ -198,8 +202,8 @@ def fit(sequences: list[tuple[np.ndarray, np.ndarray]], epochs: int = EPOCHS, se
     step = 0
     for _ in range(epochs if sequences else 0):
         order = rng.permutation(len(sequences))
-        for at in range(0, len(order), 32):
-            part = [sequences[k] for k in order[at : at + 32]]
+        for at in range(0, len(order), 48):
+            part = [sequences[k] for k in order[at : at + 48]]
             x, mask = _padded([v for v, _ in part])
             y = np.zeros(mask.shape, np.float32)
             for j, (_, labels) in enumerate(part):
@@ -217,7 +221,7 @@ def train(pages: DataFrame, page_html: str = "html", sample: int = SAMPLE) -> La
     """Train on the ``sample`` pages of least hash, labelled by their own mark-up.
 
     Workers turn the sampled pages into vectors; the driver receives at most ``sample`` pages of
-    three variants of bounded length. Without pages the labeller keeps its start weights, and there is nothing it could label.
+    a few variants of bounded length. Without pages the labeller keeps its start weights, and there is nothing it could label.
     """
     chosen = pages.where(F.col(page_html).isNotNull()).select(F.col(page_html).alias("__html")).orderBy(
         F.xxhash64(F.lit("sample"), "__html"), "__html"
