@@ -51,7 +51,7 @@ def check(spark, duck, name):
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(entry_points.oracle_sql()))
 def test_query(spark, duck, name):
     check(spark, duck, name)
 
