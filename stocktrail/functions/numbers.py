@@ -4,19 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Texts that stand for "no number" in the sources.
 EMPTY_NUMBER_TOKENS = ["", " ", "None", "none", "NULL", "NaN"]
 
 
-def clean_number(c: Column, form: str = "token", safe: bool = False) -> Column:
+def clean_number(c: Column, form: str = "token", safe: bool = False, kind: T.DataType | None = None) -> Column:
     """Text with thousands commas to double.
 
+    With ``kind``, the type of a numeric column, the number is not taken through text: it keeps
+    its type, null becomes 0, and NaN is treated as below.
+
     ``token``: empty tokens and null become 0, a float NaN stays NaN.
     ``fill``: empty tokens, null and NaN all become 0.
     ``pattern``: blank text, or text holding "None" or "nan", becomes 0.
     Other text raises under ANSI mode; with ``safe`` it becomes null.
     """
+    if isinstance(kind, T.NumericType):
+        known = F.coalesce(c, F.lit(0).cast(kind))
+        if form == "token" or not isinstance(kind, (T.DoubleType, T.FloatType)):
+            return known
+        return F.nanvl(known, F.lit(0).cast(kind))
     text = F.regexp_replace(c.cast("string"), ",", "")
     parse = (lambda t: t.try_cast("double")) if safe else (lambda t: t.cast("double"))
     zero = F.lit(0.0)
@@ -33,8 +42,13 @@ def clean_number(c: Column, form: str = "token", safe: bool = False) -> Column:
 
 
 def to_key(c: Column) -> Column:
-    """Text to document number; anything that is not a number becomes null."""
-    return c.try_cast("bigint")
+    """Text to document number; anything that is not a whole number becomes null.
+
+    A whole number may be written with decimals, such as "123.0".
+    """
+    decimal = c.cast("string").try_cast("decimal(38,6)")
+    whole = F.when(decimal == F.floor(decimal), decimal.try_cast("bigint"))
+    return F.coalesce(c.try_cast("bigint"), whole)
 
 
 def snap_zero(c: Column, eps: float = 1e-10) -> Column:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .skew import hot_groups, left_join
+from .skew import hot_groups, left_join, spread_null_keys
 
 
 def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
@@ -105,7 +105,9 @@ def alternative_link_join(
     for i, (kind, entry, line) in enumerate(arms):
         of_kind = present.filter(F.col("_t") == kind).select(F.col("_e").alias(f"_e{i}"), F.col("_l").alias(f"_l{i}"))
         of_kind = of_kind.distinct()
-        rows = rows.join(of_kind, (rows[entry] == of_kind[f"_e{i}"]) & (rows[line] == of_kind[f"_l{i}"]), "left")
+        rows, of_kind = spread_null_keys(rows, of_kind, [entry, line], [f"_e{i}", f"_l{i}"])
+        same = (rows[entry] == of_kind[f"_e{i}"]) & (rows[line] == of_kind[f"_l{i}"])
+        rows = rows.join(of_kind, same & (rows["_lspread"] == of_kind["_rspread"]), "left").drop("_lspread", "_rspread")
         link = F.struct(
             F.lit(kind).cast("bigint").alias("_t"), F.col(f"_e{i}").alias("_e"), F.col(f"_l{i}").alias("_l")
         )
@@ -167,7 +169,10 @@ def lookup(
         assert_unique_key(table, keys)
     pairs = list(zip([lk for lk, _ in on], keys))
     if unique:
+        left, table = spread_null_keys(left, table, [lk for lk, _ in pairs], keys)
+        pairs = [*pairs, ("_lspread", "_rspread")]
         joined = left.join(table, reduce(lambda a, b: a & b, [left[lk] == table[k] for lk, k in pairs]), "left")
+        joined = joined.drop("_lspread", "_rspread")
     else:
         joined = left_join(left, table, pairs, limit)
     return joined.drop(*keys)

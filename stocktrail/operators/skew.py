@@ -24,7 +24,6 @@ from pyspark.sql import types as T
 from ..runtime import hot_rows, materialize
 
 BLOCK = "_block"
-MAX_BLOCKS = 20_000
 
 
 def _all(conditions: list[Column]) -> Column:
@@ -74,7 +73,7 @@ def ordered_blocks(df: DataFrame, keys: list[str], order: list[Column], rows: in
     group of identical rows spreads over blocks.  The result is a written table: block
     borders come from sampling and must not be drawn twice.
     """
-    wanted = min(MAX_BLOCKS, max(2, -(-2 * rows // limit)))
+    wanted = max(2, -(-2 * rows // limit))
     by = [*[F.col(f"`{k}`") for k in keys], *order, *tie_break(df, keys)]
     spread = df.sortWithinPartitions(*by).withColumn("_copy", F.monotonically_increasing_id())
     ranged = spread.repartitionByRange(wanted, *by, F.col("_copy"))
@@ -142,13 +141,9 @@ def sums_before(
     return reduce(DataFrame.unionByName, parts)
 
 
-SPREAD = 1024
-SPREAD_COLUMNS = 4
-
-
-def _leading(df: DataFrame, keys: list[str]) -> list[Column]:
-    atomic = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType) and f.name not in keys]
-    return [F.col(f"`{c}`") for c in atomic[:SPREAD_COLUMNS]] or [F.lit(0)]
+def _identity(df: DataFrame, keys: list[str]) -> list[Column]:
+    """Every column that can be hashed; the row's identity may be in any of them."""
+    return [c for c in tie_break(df, keys)] or [F.lit(0)]
 
 
 def spread_null_keys(left: DataFrame, right: DataFrame, lkeys: list[str], rkeys: list[str]):
@@ -156,11 +151,11 @@ def spread_null_keys(left: DataFrame, right: DataFrame, lkeys: list[str], rkeys:
 
     Such rows match nothing, but would all be shuffled to one task.  Rows with a full key get
     0, as does every right row; the right value is computed from the key so that it stays a
-    join key and is not folded away.  The scatter hashes the leading columns, where tables
-    carry their identity; hashing all would defeat column pruning.
+    join key and is not folded away.  The scatter is a hash of the whole row, as wide as the hash is, so any
+    number of such rows spreads over any number of tasks.
     """
     missing = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in lkeys])
-    scatter = F.pmod(F.xxhash64(*_leading(left, lkeys)), F.lit(SPREAD)) + 1
+    scatter = F.xxhash64(*_identity(left, lkeys))
     left = left.withColumn("_lspread", F.when(missing, scatter).otherwise(F.lit(0).cast("bigint")))
     zero = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in rkeys]), F.lit(1))
     return left, right.withColumn("_rspread", zero)

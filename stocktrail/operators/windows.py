@@ -182,9 +182,12 @@ def fill_within_group(
 def head_tail_trend(series: DataFrame, day: str, value: str, n: int = 7) -> DataFrame:
     """Mean of the last ``n`` days minus the mean of the first ``n``."""
     picked = series.select(day, value)
-    first = picked.orderBy(F.col(day).asc()).limit(n).agg(F.avg(value).alias("head_mean"))
-    last = picked.orderBy(F.col(day).desc()).limit(n).agg(F.avg(value).alias("tail_mean"))
-    both = first.withColumn("_one", F.lit(1)).join(last.withColumn("_one", F.lit(1)), "_one")
+    first = picked.orderBy(F.col(day).asc()).limit(n).select(value, F.lit(True).alias("head"))
+    last = picked.orderBy(F.col(day).desc()).limit(n).select(value, F.lit(False).alias("head"))
+    both = first.unionByName(last).agg(
+        F.avg(F.when(F.col("head"), F.col(value))).alias("head_mean"),
+        F.avg(F.when(~F.col("head"), F.col(value))).alias("tail_mean"),
+    )
     return both.select("head_mean", "tail_mean", (F.col("tail_mean") - F.col("head_mean")).alias("trend"))
 
 

@@ -126,7 +126,7 @@ def sales_order_balance(trace: DataFrame, cutoff: dt.date) -> DataFrame:
     none_l, none_s = F.lit(None).cast("bigint"), F.lit(None).cast("string")
     records = []
     for kind, (qty, line, number, form, created) in _KINDS.items():
-        value = clean_number(F.col(qty), form)
+        value = clean_number(F.col(qty), form, kind=trace.schema[qty].dataType)
         if created:
             value = mask_after(value, F.col(created), day)
         child = F.col(number).cast("bigint") if number else none_l

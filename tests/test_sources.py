@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from stocktrail.plans.report import REPORT_COLUMNS, published
-from stocktrail.runtime import materialize, shared_dir
+from stocktrail.runtime import WORK_DIR_CONF, materialize, remove_work, shared_dir
 from stocktrail.sources import readers, writers
 from stocktrail.sources.schemas import DDL, schema
 
@@ -48,6 +48,17 @@ def test_scan_or_empty(spark, tmp_path):
         readers.scan_or_empty(spark, missing, schema("OCRD"))
 
 
+def test_scan_or_empty_without_a_database(spark):
+    unreachable = lambda: readers.jdbc_query(
+        spark, "jdbc:derby:memory:none", "SELECT 1 FROM T", options={"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    )
+    assert readers.scan_or_empty(spark, unreachable, schema("OCRD"), on_error="empty").count() == 0
+    no_driver = lambda: readers.jdbc_query(spark, "jdbc:none:x", "SELECT 1", options={"driver": "no.such.Driver"})
+    assert readers.scan_or_empty(spark, no_driver, schema("OCRD"), on_error="empty").count() == 0
+    with pytest.raises(Exception, match="Driver|none"):
+        readers.scan_or_empty(spark, no_driver, schema("OCRD"))
+
+
 def test_all_schemas_parse():
     assert all(len(schema(name)) > 0 for name in DDL)
 
@@ -96,6 +107,17 @@ def test_materialize_uses_shared_folder(spark):
     assert shared_dir(spark).split(":")[-1] in got.inputFiles()[0]
 
 
+def test_work_folder(spark, tmp_path):
+    spark.conf.set(WORK_DIR_CONF, str(tmp_path / "work"))
+    try:
+        assert materialize(spark.range(3)).count() == 3
+        assert list((tmp_path / "work").rglob("*.parquet"))
+        remove_work(spark)
+        assert not list((tmp_path / "work").rglob("*.parquet"))
+    finally:
+        spark.conf.unset(WORK_DIR_CONF)
+
+
 def test_published_names(spark):
     df = spark.createDataFrame([tuple("x" for _ in REPORT_COLUMNS)], list(REPORT_COLUMNS))
     assert published(df).columns == list(REPORT_COLUMNS.values()) and len(REPORT_COLUMNS) == 41
