@@ -11,9 +11,9 @@ from ..operators.windows import head_tail_trend
 
 def daily_summary(series: DataFrame) -> DataFrame:
     """Totals, daily mean, and last week against first week, in one row."""
-    totals = global_summary(series, "sales", "customers").withColumn("_one", F.lit(1))
-    trend = head_tail_trend(series, "day", "sales").withColumn("_one", F.lit(1))
-    return totals.join(trend, "_one").drop("_one")
+    totals, trend = global_summary(series, "sales", "customers"), head_tail_trend(series, "day", "sales")
+    parts = totals.unionByName(trend, allowMissingColumns=True)
+    return parts.agg(*[F.max(c).alias(c) for c in parts.columns])
 
 
 def top_days(series: DataFrame, n: int = 5) -> DataFrame:

@@ -15,6 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 CUTOFF = dt.date(2000, 1, 1)
 SOURCES = ("lineitem", "orders", "part", "customer", "supplier")
 
+# A partner, account or item code that no master table has, so that lookups also miss.
+_UNKNOWN_PARTNER = "CASE WHEN {key} % 11 = 0 THEN concat('X', CAST({key} AS STRING)) ELSE concat('C', CAST({key} AS STRING)) END"
+_ACCOUNT = "CASE WHEN l_suppkey % 10 = 0 THEN concat('X', CAST(l_suppkey AS STRING)) ELSE concat('S', CAST(l_suppkey AS STRING)) END"
+
 _LINES = "SELECT {cols} FROM lineitem WHERE {where}"
 
 
@@ -35,7 +39,7 @@ def _doc_lines(where: str, kind: str, base: str = "l_orderkey", extra: str = "")
 def _header(number: int, cancelled: str, day: str = "o_orderdate") -> str:
     return (
         f"SELECT o_orderkey AS DocEntry, o_orderkey + {number} AS DocNum, "
-        "concat('C', CAST(o_custkey AS STRING)) AS CardCode, "
+        f"{_UNKNOWN_PARTNER.format(key='o_custkey')} AS CardCode, "
         "concat('Customer ', CAST(o_custkey AS STRING)) AS CardName, "
         "CASE WHEN o_orderstatus = 'F' THEN 'C' ELSE 'O' END AS DocStatus, "
         f"CASE WHEN {cancelled} THEN 'Y' ELSE 'N' END AS CANCELED, "
@@ -44,17 +48,21 @@ def _header(number: int, cancelled: str, day: str = "o_orderdate") -> str:
 
 
 _MOVE_TYPE = (
+    "CASE (l_orderkey + l_linenumber) % 31 WHEN 0 THEN '13' WHEN 1 THEN '14' WHEN 2 THEN '19' WHEN 3 THEN '21' "
+    "WHEN 4 THEN '69' WHEN 5 THEN '162' WHEN 6 THEN '202' WHEN 7 THEN '999' ELSE "
     "CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN '15' WHEN l_returnflag = 'R' THEN '60' "
     "WHEN l_returnflag = 'N' THEN '20' WHEN l_linestatus = 'O' AND l_tax < 0.03 THEN '18' "
     "WHEN l_linestatus = 'O' AND l_tax < 0.05 THEN '16' WHEN l_linestatus = 'O' AND l_tax < 0.07 THEN '67' "
-    "ELSE '59' END"
+    "ELSE '59' END END"
 )
 
+
 ERP_SQL = {
     "OINM": (
         "SELECT concat('A', CAST(l_partkey AS STRING)) AS ItemCode, l_orderkey * 10 + l_linenumber AS TransNum, "
         f"{_MOVE_TYPE} AS TransType, l_linenumber AS DocLineNum, l_orderkey AS TransSeq, 0 AS SubLineNum, "
-        "l_orderkey AS CreatedBy, CAST(l_orderkey AS STRING) AS BASE_REF, "
+        f"l_orderkey + CASE WHEN {_MOVE_TYPE} = '16' THEN 4000000 ELSE 0 END AS CreatedBy, "
+        f"CAST(l_orderkey + CASE {_MOVE_TYPE} WHEN '13' THEN 2000000 WHEN '14' THEN 5000000 ELSE 0 END AS STRING) AS BASE_REF, "
         "CASE WHEN l_discount < 0.04 THEN 'Recibo de produccion' WHEN l_discount < 0.07 THEN 'Receipt from Prod' "
         "ELSE 'Ajuste' END AS JrnlMemo, concat('Part ', CAST(l_partkey AS STRING)) AS Dscription, "
         "'PEN' AS Currency, CAST(1 AS DOUBLE) AS Rate, l_extendedprice AS Price, l_extendedprice AS TransValue, "
@@ -77,18 +85,17 @@ ERP_SQL = {
         "AS ItmsGrpNam FROM part"
     ),
     "OCRD": (
-        "SELECT concat('C', CAST(c_custkey AS STRING)) AS CardCode, c_name AS CardName FROM customer "
-        "WHERE c_acctbal >= 0"
+        "SELECT concat('C', CAST(c_custkey AS STRING)) AS CardCode, c_name AS CardName FROM customer"
     ),
     "OACT": (
         "SELECT concat('S', CAST(s_suppkey AS STRING)) AS AcctCode, CASE WHEN s_acctbal < 2000 THEN '20111040000' "
         "WHEN s_acctbal < 4000 THEN '42111090000' ELSE concat('601', CAST(s_suppkey AS STRING)) END AS FormatCode, "
         "CASE WHEN s_acctbal < 8000 THEN concat('Account ', CAST(s_suppkey AS STRING)) "
-        "ELSE 'CUENTA DE ORDEN INVENTARIO (GEN., GEN.)' END AS AcctName FROM supplier WHERE s_acctbal < 9000"
+        "ELSE 'CUENTA DE ORDEN INVENTARIO (GEN., GEN.)' END AS AcctName FROM supplier"
     ),
     "ORDR": (
         "SELECT o_orderkey AS DocEntry, o_orderkey + 1000000 AS DocNum, "
-        "concat('C', CAST(o_custkey AS STRING)) AS CardCode, "
+        f"{_UNKNOWN_PARTNER.format(key='o_custkey')} AS CardCode, "
         "concat('Customer ', CAST(o_custkey AS STRING)) AS CardName, "
         "CASE WHEN o_orderstatus = 'F' THEN 'C' ELSE 'O' END AS DocStatus, "
         "CASE WHEN o_orderstatus = 'P' THEN 'Y' ELSE 'N' END AS CANCELED, "
@@ -97,7 +104,7 @@ ERP_SQL = {
         "CAST(substring(o_orderpriority, 1, 1) AS INT) AS GroupNum FROM orders"
     ),
     "RDR1": _lines(
-        "l_tax <= 0.06",
+        "true",
         "l_orderkey AS DocEntry, l_linenumber AS LineNum, "
         "CASE WHEN l_linestatus = 'F' THEN 'C' WHEN l_tax = 0 THEN 'X' ELSE 'O' END AS LineStatus, "
         "concat('A', CAST(l_partkey AS STRING)) AS ItemCode, "
@@ -172,7 +179,7 @@ ERP_SQL = {
         "l_orderkey AS DocEntry, l_linenumber AS LineNum, concat('A', CAST(l_partkey AS STRING)) AS ItemCode, "
         "l_quantity AS Quantity, CASE WHEN l_discount >= 0.09 THEN '' ELSE CAST(l_orderkey + 7000000 AS STRING) END "
         "AS BaseRef, CASE WHEN l_tax <= 0.05 THEN 202 ELSE 0 END AS BaseType, l_orderkey AS BaseEntry, "
-        "concat('S', CAST(l_suppkey AS STRING)) AS AcctCode",
+        f"{_ACCOUNT} AS AcctCode",
     ),
     "OIGE": (
         "SELECT o_orderkey AS DocEntry, o_orderkey AS DocNum, "
@@ -185,12 +192,12 @@ ERP_SQL = {
         "l_orderkey AS DocEntry, l_linenumber AS LineNum, concat('A', CAST(l_partkey AS STRING)) AS ItemCode, "
         "l_quantity AS Quantity, CASE WHEN l_discount >= 0.09 THEN '' ELSE CAST(l_orderkey + 7000000 AS STRING) END "
         "AS BaseRef, CASE WHEN l_tax <= 0.05 THEN 202 ELSE 0 END AS BaseType, l_orderkey AS BaseEntry, "
-        "concat('S', CAST(l_suppkey AS STRING)) AS AcctCode",
+        f"{_ACCOUNT} AS AcctCode",
     ),
     "OWOR": (
         "SELECT orders.o_orderkey AS DocEntry, orders.o_orderkey + 7000000 AS DocNum, "
         "CASE orders.o_orderstatus WHEN 'P' THEN 'C' WHEN 'F' THEN 'L' ELSE 'R' END AS Status, "
-        "concat('C', CAST(orders.o_custkey AS STRING)) AS CardCode, "
+        f"{_UNKNOWN_PARTNER.format(key='orders.o_custkey')} AS CardCode, "
         "CASE WHEN orders.o_orderpriority = '1-URGENT' THEN made.ItemCode "
         "WHEN orders.o_orderpriority = '2-HIGH' THEN concat('A9', CAST(orders.o_custkey AS STRING)) "
         "ELSE concat('S', CAST(orders.o_custkey AS STRING)) END AS ItemCode, "

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -15,7 +17,7 @@ from ..operators import aggregates, links, windows
 from ..operators.allocate import allocate_layers, allocation_totals
 from ..operators.collapse import collapse_repeated, split_by
 from ..operators.skew import left_join
-from ..runtime import materialize
+from ..runtime import materialize, shared_dir
 from ..sources import readers, writers
 from ..sources.schemas import schema
 from . import daily, ledger, netting, production, receipts, report, sales_orders
@@ -496,10 +498,10 @@ def rotation(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def master(spark: SparkSession, folder: str) -> DataFrame:
-    """Item master: parts that have a large enough size carry a unique code."""
-    rows = table(spark, folder, "part").filter(F.col("p_size") > 10)
-    return rows.select(
-        F.concat(F.lit("MPA"), F.col("p_partkey").cast("string")).alias("item_key"),
+    """Item master: every part has a unique code, small ones under a key that no item has."""
+    prefix = F.when(F.col("p_size") > 10, F.lit("MPA")).otherwise(F.lit("MPX"))
+    return table(spark, folder, "part").select(
+        F.concat(prefix, F.col("p_partkey").cast("string")).alias("item_key"),
         F.concat(F.lit("U-"), F.col("p_brand")).alias("unique_code"),
     )
 
@@ -701,8 +703,8 @@ def inbound_receipts(spark, folder):
 
 
 def _erp_stock(t):
-    rows = t["OINM"].select(F.col("ItemCode").alias("item"), F.col("CreateDate").alias("created"), F.col("InQty").alias("qty_in"), F.col("OutQty").alias("qty_out"))
-    return rows
+    """Movements of the published ledger."""
+    return ledger.movement_ledger(t).select("item", "created", "qty_in", "qty_out")
 
 
 def _net_layers(spark, folder, missing):
@@ -773,3 +775,72 @@ def table_function_scan(spark, folder):
         "RETURN SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = wanted"
     )
     return readers.table_function_scan(spark, "orders_of_status", ["P"])
+
+
+def _new_path(spark):
+    return f"{shared_dir(spark)}/out-{uuid.uuid4().hex}"
+
+
+@query
+def item_snapshot(spark, folder):
+    """Item master kept as CSV: written, then read with its declared types."""
+    rows = master(spark, folder)
+    return readers.snapshot(spark, writers.write_csv(rows, _new_path(spark)), rows.schema)
+
+
+@query
+def rotation_snapshot(spark, folder):
+    """Rotation categories kept as Parquet."""
+    rows, path = rotation(spark, folder), _new_path(spark)
+    rows.write.parquet(path)
+    return plain(readers.snapshot(spark, path, rows.schema, "parquet"))
+
+
+@query
+def write_tsv(spark, folder):
+    """Text files of one cutoff, read back as text."""
+    rows = table(spark, folder, "part").select("p_partkey", "p_name", "p_size", F.when(F.col("p_size") > 25, F.col("p_brand")).alias("brand"))
+    path = writers.write_tsv(rows, _new_path(spark), CUTOFF)
+    return spark.read.option("sep", "\t").option("header", True).csv(path)
+
+
+@query
+def append_table(spark, folder):
+    """Two cutoffs in the result table, the first one written twice and a third one emptied again."""
+    rows, path = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus"), _new_path(spark)
+    for cutoff, kept in ((CUTOFF, "F"), (dt.date(2000, 2, 1), "O"), (dt.date(2000, 3, 1), "P"), (CUTOFF, "F"), (dt.date(2000, 3, 1), "none")):
+        writers.append_table(rows.filter(F.col("o_orderstatus") == kept), path, cutoff)
+    return plain(spark.read.parquet(path).drop("fecha_carga"))
+
+
+@query
+def publish_report(spark, folder):
+    """The published report as it stands in the result table."""
+    rows, result = _report(spark, folder, "zero"), _new_path(spark)
+    report.publish(rows, _new_path(spark), result, CUTOFF)
+    got = spark.read.parquet(result)
+    names = report.REPORT_COLUMNS
+    return plain(got.select(*[F.col(f"`{names[f.name]}`").cast(f.dataType).alias(f.name) for f in rows.schema]))
+
+
+@query
+def report_order(spark, folder):
+    """Row numbers of the report's order: item, newest receipt first."""
+    rows = receipts.inbound_receipts(erp_tables(spark, folder), CUTOFF).select("item", "receipt_no", "movement_no")
+    return windows.number_rows(rows, report.report_order(), "row_no", distinct_order=True)
+
+
+@query
+def ledger_order(spark, folder):
+    """Row numbers of the ledger's order: item, day of posting, movement."""
+    rows = erp_tables(spark, folder)["OINM"].groupBy("ItemCode", "DocDate").agg(F.sum("InQty").alias("qty_in"))
+    order = [F.col("ItemCode").asc_nulls_last(), F.col("DocDate").asc_nulls_last()]
+    return plain(windows.number_rows(rows, order, "row_no", distinct_order=True))
+
+
+@query
+def trace_order(spark, folder):
+    """Row numbers of the published order of the order trace, over its distinct order keys."""
+    keys = ["so_number", "so_line", "dl_number", "rt_number", "cn_number"]
+    rows = sales_orders.sales_order_trace(erp_tables(spark, folder), CUTOFF).select(*keys).distinct()
+    return windows.number_rows(rows, sales_orders.trace_order(), "row_no", distinct_order=True)

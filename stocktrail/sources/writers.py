@@ -37,9 +37,13 @@ def append_table(df: DataFrame, path: str, cutoff: dt.date) -> None:
     """Add one cutoff's rows to the result table at ``path``.
 
     The table is partitioned by cutoff and a rerun replaces its own partition, so publishing
-    twice keeps one copy.  An empty result leaves the table as it is: dynamic overwrite
-    touches only the partitions it has rows for.
+    twice keeps one copy; a rerun with an empty result removes what an earlier run has left.
     """
+    if df.isEmpty():
+        spark = df.sparkSession
+        part = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/fecha_corte={cutoff.isoformat()}")
+        part.getFileSystem(spark._jsc.hadoopConfiguration()).delete(part, True)
+        return
     (
         with_load_columns(df, cutoff)
         .write.mode("overwrite")
