@@ -47,9 +47,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret replaced by a mark; n_chars follows where a text changed."""
-    found = secret_scan.find_secrets(_packed(docs), "body")
-    clean = secret_scan.redact(found, "body")
-    changed = F.size("secrets") > 0
+    clean = secret_scan.redact(_packed(docs), "body")
+    changed = F.col("n_secrets") > 0
     columns = []
     for name in docs.columns:
         old = F.col("row").getField(name)

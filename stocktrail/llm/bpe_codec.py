@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from stocktrail.llm import tokenizer_files as tf
 from stocktrail.llm.common import append_columns
 
-CACHE = 700_000  # pieces a worker remembers
+CACHE = 150_000  # pieces a worker remembers in each of two generations
 LONG_WORD = 400  # parts from which the rank array is kept in blocks
 BLOCK = 512
 _NONE = 1 << 40  # rank of a pair that does not merge

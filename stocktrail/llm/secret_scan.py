@@ -162,28 +162,33 @@ def find_secrets(df: DataFrame, text: str, out: str = "secrets", drop=()) -> Dat
     return append_columns(df, [text], f"`{out}` array<struct<kind:string,start:bigint,end:bigint>>", start, drop)
 
 
-def redact(df: DataFrame, text: str, secrets: str = "secrets", mark: str = "[SECRET]", drop=()) -> DataFrame:
-    """Replace the spans in ``secrets`` by ``mark``; overlapping spans become one. Null stays null."""
+def without(text: str | None, spans: list[Span], mark: str) -> str | None:
+    """Text with ``mark`` in place of each span; overlapping spans become one."""
+    if text is None or not spans:
+        return text
+    parts, at, end = [], 0, -1
+    for _, first, last in sorted(spans, key=lambda s: s[1]):
+        if first >= end:
+            parts += [text[at:first], mark]
+        at = end = max(end, last)
+    return "".join([*parts, text[at:]])
+
+
+def redact(df: DataFrame, text: str, mark: str = "[SECRET]", count: str = "n_secrets") -> DataFrame:
+    """Scan each whole text and replace its secrets by ``mark``, in one pass; add their number.
+
+    Null stays null, texts without secrets stay as they are, and a column already named ``count``
+    is replaced.
+    """
 
     def start():
-        def work(texts, rows):
-            out = []
-            for t, spans in zip(texts, rows, strict=True):
-                if t is None or not spans:
-                    out.append(t)
-                    continue
-                parts, at, end = [], 0, -1
-                for s in sorted(spans, key=lambda s: s["start"]):
-                    if s["start"] >= end:
-                        parts += [t[at : s["start"]], mark]
-                    end = max(end, s["end"])
-                    at = end
-                out.append("".join([*parts, t[at:]]))
-            return [out]
+        def work(texts):
+            found = [scan(t) for t in texts]
+            return [[without(t, s, mark) for t, s in zip(texts, found, strict=True)], [len(s) for s in found]]
 
         return work
 
-    return append_columns(df, [text, secrets], f"`{text}` string", start, drop)
+    return append_columns(df, [text], f"`{text}` string, `{count}` bigint", start)
 
 
 def written(spans: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from stocktrail.llm import tokenizer_files as tf
 from stocktrail.llm.common import append_columns
 
-CACHE = 700_000  # pieces a worker remembers
+CACHE = 150_000  # pieces a worker remembers in each of two generations
 
 
 def count_word(bpe: tf.ByteBpe, word: bytes) -> int:

@@ -105,26 +105,35 @@ def pieces(text: str) -> list[str]:
 class PieceCache(dict):
     """Result of each piece of text: that of its word, or the sum of those of its words.
 
-    Emptied when full, so memory stays bounded.
+    Holds at most ``size`` pieces in the current generation and as many in the one before; a
+    piece met again moves to the current one, so frequent pieces stay and memory is bounded.
     """
 
     def __init__(self, compute: Callable[[bytes], object], none: object, size: int):
         super().__init__()
         self.compute, self.none, self.size = compute, none, size
+        self.older: dict[str, object] = {}
 
     def __missing__(self, piece: str) -> object:
+        value = self.older.get(piece)
+        if value is not None:
+            return self._keep(piece, value)
         found = words(piece)
         if len(found) == 1:
             return self._keep(piece, self.compute(piece.encode()))
         value = self.none
         for word in found:
             one = self.get(word)
-            value += self._keep(word, self.compute(word.encode())) if one is None else one
+            if one is None:
+                one = self.older.get(word)
+                one = self._keep(word, self.compute(word.encode()) if one is None else one)
+            value += one
         return self._keep(piece, value)
 
     def _keep(self, piece: str, value: object) -> object:
         if len(piece) <= 64:
             if len(self) >= self.size:
+                self.older = dict(self)
                 self.clear()
             self[piece] = value
         return value

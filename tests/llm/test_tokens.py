@@ -65,10 +65,11 @@ def test_long_words_in_blocks_give_the_same(bpe, monkeypatch):
     assert bpe_codec.encode_word(bpe, word) == blocked
 
 
-def test_full_cache_is_emptied(bpe):
+def test_cache_is_bounded(bpe):
     cache = tokenizer_files.PieceCache(lambda w: token_counts.count_word(bpe, w), 0, 3)
     assert [cache[p] for p in ("one", " two", " three", " four", "one, two")] == [1, 1, 1, 1, 3]
-    assert len(cache) <= 3
+    assert len(cache) <= 3 and len(cache.older) <= 3
+    assert cache[" two"] == cache["one, two three"] - 3 == 1
 
 
 def test_queries_agree_with_the_library(spark, folder, documents, library):
