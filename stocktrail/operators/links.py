@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .skew import hot_groups, left_join, spread_null_keys
+from .skew import left_join, spread_null_keys
 
 
 def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
@@ -181,9 +181,9 @@ def lookup(
 def assert_unique_key(df: DataFrame, keys: list[str]) -> DataFrame:
     """Raise when a non-null key occurs twice."""
     usable = df.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    repeated = hot_groups(usable, keys, limit=1)
+    repeated = usable.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > 1).first()
     if repeated is not None:
-        raise ValueError(f"key {keys} is not unique, for example {repeated.first().asDict()}")
+        raise ValueError(f"key {keys} is not unique, for example {repeated.asDict()}")
     return df
 
 

@@ -47,10 +47,8 @@ def hot_groups(df: DataFrame, keys: list[str], limit: int | None = None) -> Data
     limit = limit or hot_rows(df.sparkSession)
     if df.count() <= limit:
         return None
-    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit)
-    if found.isEmpty():
-        return None
-    return materialize(found)
+    found = materialize(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit))
+    return None if found.isEmpty() else found
 
 
 def split_hot(df: DataFrame, keys: list[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -296,13 +296,17 @@ def line_status(spark, folder):
 def classify_receipt(spark, folder):
     """Class of every movement from its own attributes and those of its item and supplier."""
     got = _classified(spark, folder)
-    return plain(got.groupBy("kind", "charge", "receipt_class").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("qty").alias("qty")))
+    return got.select("l_orderkey", "l_linenumber", "item", "kind", "charge", "receipt_class", "qty")
 
 
 def _classified(spark, folder):
     lines = table(spark, folder, "lineitem")
     accounts = erp_tables(spark, folder)["OACT"].select("AcctCode", "FormatCode", "AcctName")
     rows = lines.select(
+        "l_orderkey",
+        "l_linenumber",
+        F.col("l_shipdate").cast("date").alias("day"),
+        F.expr("CASE WHEN l_discount = 0.05 THEN 'Y' WHEN l_discount <> 0.06 THEN 'N' END").alias("flag"),
         F.expr("CASE WHEN l_returnflag = 'N' THEN '20' WHEN l_linestatus = 'O' THEN '59' ELSE '18' END").alias("kind"),
         F.expr(
             "CASE WHEN l_tax = 0 THEN 'GA' WHEN l_tax = 0.01 THEN 'G' WHEN l_tax = 0.02 THEN 'OF' WHEN l_tax = 0.03 "
@@ -430,8 +434,8 @@ def mask_after_cutoff(spark, folder):
 def age_buckets(spark, folder):
     shipped = F.when(F.col("l_tax") > 0, F.col("l_shipdate").cast("date"))
     years = fx.age_years(shipped, day())
-    rows = table(spark, folder, "lineitem").select(years.alias("years"), fx.age_bucket(years).alias("age"), "l_quantity")
-    return plain(rows.groupBy("years", "age").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("l_quantity").alias("qty")))
+    keys = ["l_orderkey", "l_linenumber", "l_partkey"]
+    return table(spark, folder, "lineitem").select(*keys, years.alias("years"), fx.age_bucket(years).alias("age"))
 
 
 @query
@@ -442,10 +446,14 @@ def cutoff_calendar(spark, folder):
 
 @query
 def inbound_filter_3vl(spark, folder):
-    rows = _classified(spark, folder).filter(
-        ~((F.col("kind") == "59") & F.col("FormatCode").isin(CLASSES.excluded_account)) & ~F.col("kind").isin("67", "16", "14")
-    )
-    return rows.groupBy("kind", "FormatCode").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("qty").alias("qty"))
+    """Live inbound movements; a stock entry whose account is unknown is not one of them."""
+    c = F.col
+    inbound = receipts.inbound_filter(
+        c("kind"), c("day"), c("qty"), {k: c("flag") for k in receipts.INBOUND}, c("memo"), c("produced"), c("item"),
+        c("FormatCode"), day(),
+    )
+    rows = _classified(spark, folder).filter(inbound)
+    return rows.select("l_orderkey", "l_linenumber", "item", "kind", "FormatCode", "qty")
 
 
 @query
