@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text_value
@@ -37,13 +37,9 @@ def append_table(df: DataFrame, path: str, cutoff: dt.date) -> None:
     """Add one cutoff's rows to the result table at ``path``.
 
     The table is partitioned by cutoff and a rerun replaces its own partition, so publishing
-    twice keeps one copy; a rerun with an empty result removes what an earlier run has left.
+    twice keeps one copy.  An empty result leaves the table as it is: dynamic overwrite
+    touches only the partitions it has rows for; `remove_cutoff` clears one.
     """
-    if df.isEmpty():
-        spark = df.sparkSession
-        part = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/fecha_corte={cutoff.isoformat()}")
-        part.getFileSystem(spark._jsc.hadoopConfiguration()).delete(part, True)
-        return
     (
         with_load_columns(df, cutoff)
         .write.mode("overwrite")
@@ -53,6 +49,12 @@ def append_table(df: DataFrame, path: str, cutoff: dt.date) -> None:
     )
 
 
+def remove_cutoff(spark: SparkSession, path: str, cutoff: dt.date) -> None:
+    """Take one cutoff's rows out of the result table at ``path``."""
+    part = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/fecha_corte={cutoff.isoformat()}")
+    part.getFileSystem(spark._jsc.hadoopConfiguration()).delete(part, True)
+
+
 def append_jdbc(
     df: DataFrame, url: str, table: str, cutoff: dt.date, *, batch: int = 10_000, options: dict[str, str] | None = None
 ) -> None:
