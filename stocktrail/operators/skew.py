@@ -10,7 +10,8 @@ threshold take the ordinary plan.  Keys above it are split:
   small per-partition offset;
 * joins: the many-row side is salted, the other side repeated once per salt.
 
-The set of hot keys is bounded by rows / threshold, and so is what gets broadcast.
+The set of hot keys is bounded by rows / threshold. It is a written table, so Spark knows its
+size and broadcasts it only while it is small; nothing here forces a broadcast.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ def hot_groups(df: DataFrame, keys: list[str], limit: int | None = None) -> Data
 
 def split_hot(df: DataFrame, keys: list[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of hot keys, and the others."""
-    marked = F.broadcast(_prefixed(hot, keys, "_hot_"))
+    marked = _prefixed(hot, keys, "_hot_")
     same = _same(df, marked, keys, "_hot_")
     return df.join(marked, same, "left_semi"), df.join(marked, same, "left_anti")
 
@@ -95,7 +96,7 @@ def total_before(c: Column, frame) -> Column:
 def attach_offsets(blocks: DataFrame, offsets: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
     """Join per-(key, block) values onto the rows; there is one row per key and block."""
     at = [*keys, BLOCK]
-    small = F.broadcast(_prefixed(offsets, at, "_at_", *names))
+    small = _prefixed(offsets, at, "_at_", *names)
     return blocks.join(small, _same(blocks, small, at, "_at_"), "left").drop(*["_at_" + k for k in at])
 
 
@@ -187,7 +188,7 @@ def left_join(
         return joined.drop("_lspread", "_rspread")
 
     salts = hot.withColumn("_salts", F.ceil(F.col("_rows") / F.lit(limit)).cast("int"))
-    for_right = F.broadcast(_prefixed(salts, rkeys, "_hot_", "_salts"))
+    for_right = _prefixed(salts, rkeys, "_hot_", "_salts")
     same = _all([usable[k] == for_right["_hot_" + k] for k in rkeys])
     marked = usable.join(for_right, same, "left").drop(*["_hot_" + k for k in rkeys])
     hot_side = marked.filter(F.col("_salts").isNotNull())
@@ -196,7 +197,7 @@ def left_join(
     cold_side = marked.filter(F.col("_salts").isNull()).withColumn("_rsalt", F.lit(0))
     salted = hot_side.unionByName(cold_side).drop("_salts").withColumn("_hit", F.lit(True))
 
-    for_left = F.broadcast(_prefixed(salts, rkeys, "_hot_", "_salts"))
+    for_left = _prefixed(salts, rkeys, "_hot_", "_salts")
     same = _all([left[lk] == for_left["_hot_" + rk] for lk, rk in zip(lkeys, rkeys)])
     repeated = left.join(for_left, same, "left").drop(*["_hot_" + k for k in rkeys])
     repeated = repeated.withColumn(

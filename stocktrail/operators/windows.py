@@ -52,7 +52,7 @@ def number_rows(
     local = F.col("_at").bitwiseAND((1 << POSITION_BITS) - 1)
     sizes = written.groupBy(block.alias(BLOCK)).agg(F.count(F.lit(1)).alias("_rows"))
     ahead = sizes.select(BLOCK, total_before(F.col("_rows"), before([], [F.col(BLOCK)])).alias("_ahead"))
-    joined = written.withColumn("_in", block).join(F.broadcast(ahead), F.col("_in") == F.col(BLOCK))
+    joined = written.withColumn("_in", block).join(ahead, F.col("_in") == F.col(BLOCK))
     return joined.select(*df.columns, (F.col("_ahead") + local + 1).cast("bigint").alias(name))
 
 
