@@ -97,9 +97,11 @@ def top_k(
     kept: DataFrame | None = None
     widest = max(width for _, _, width in parts)
     for radius in range(widest + 1):
-        probes = F.concat(*[_probes(i, s, radius) for i, s in enumerate(parts) if radius <= s[2]])
-        looked = active.select("query_id", F.col("code").alias("asked"), F.explode(probes).alias("p"))
-        met = looked.select("query_id", "asked", "p.segment", "p.value").join(table, ["segment", "value"])
+        slots = F.concat(*[_probes(i, s, radius) for i, s in enumerate(parts) if radius <= s[2]])
+        looked = active.select("query_id", F.col("code").alias("asked"), F.explode(slots).alias("p"))
+        # Spark takes the exploded slots for as small as the queries and would broadcast them.
+        probes = looked.select("query_id", "asked", "p.segment", "p.value")
+        met = probes.hint("merge").join(table.hint("merge"), ["segment", "value"])
         met = met.select("query_id", "asked", "code", "n", distance(F.col("asked"), F.col("code"), words).alias("distance"))
         if kept is not None:
             met = met.unionByName(kept)

@@ -187,10 +187,10 @@ def _star(fps: DataFrame, near: int, far: int, distance: int) -> DataFrame:
     mids = fps.select("fp", F.explode(_ball(F.col("fp"), near)).alias("mid"))
     least = mids.groupBy("mid").agg(F.min("fp").alias("a"))
     if near == far:
-        joined = mids.join(least, "mid")
+        joined = mids.hint("merge").join(least.hint("merge"), "mid")  # far more rows than Spark expects
         return joined.where("a < fp").select("a", F.col("fp").alias("b"))
     wide = fps.select(F.col("fp").alias("b"), F.explode(_ball(F.col("fp"), far)).alias("mid"))
-    joined = wide.join(least, "mid")
+    joined = wide.hint("merge").join(least.hint("merge"), "mid")
     return joined.where((F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance) & (F.col("a") != F.col("b"))).select(
         "a", "b"
     )
