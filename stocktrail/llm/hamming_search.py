@@ -129,3 +129,50 @@ def top_k(
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", F.col("distance").cast("int").alias("distance"))
     )
+
+
+def top_k_signs(base: DataFrame, queries: DataFrame, k: int, row_id: str, query_id: str, vector: str) -> DataFrame:
+    """`top_k` over the sign codes of vectors of any sizes: query_id, rank, vec_id and distance.
+
+    Vectors of different sizes are compared over the entries both have, the first ones, so every
+    vector is a neighbour of every query; one without entries is at distance 0. Null vectors are
+    no neighbours and as queries have none.
+
+    Every size has up to two searches over codes of as many bits: queries of that size among
+    vectors at least as long, and longer queries among vectors of that size. The nearest of all
+    are the nearest of each query's searches. With one size there is one search.
+    """
+    size = F.size(vector).alias("size")
+    rows = base.select(F.col(row_id).alias("vec_id"), F.col(vector).alias("vector"), size).where(F.col(vector).isNotNull())
+    asked = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("vector"), size).where(F.col(vector).isNotNull())
+    of_rows = {r["size"] for r in rows.select("size").distinct().collect()}
+    of_asked = {r["size"] for r in asked.select("size").distinct().collect()}
+    longest = max(of_rows | of_asked, default=0)
+    if len(of_rows | of_asked) > 1:
+        # Queries with the same id may differ beyond the entries that a search compares.
+        whole = F.coalesce(*[sign_code(F.col("vector"), n) for n in sorted(of_asked | {longest})])
+        asked = asked.withColumn("query_id", F.struct("query_id", "size", whole.alias("whole")))
+
+    def search(base: DataFrame, queries: DataFrame, bits: int) -> DataFrame:
+        code = sign_code(F.slice("vector", 1, bits), bits) if bits else F.array(F.lit(0).cast("bigint"))
+        return top_k(base.withColumn("code", code), queries.withColumn("code", code), k, max(bits, 1))
+
+    if len(of_rows | of_asked) <= 1:
+        return search(rows, asked, longest)
+    found: DataFrame | None = None
+    for bits in sorted(of_rows | of_asked):
+        pairs = []
+        if bits in of_asked and max(of_rows, default=-1) >= bits:
+            pairs.append((rows.where(F.col("size") >= bits), asked.where(F.col("size") == bits)))
+        if bits in of_rows and max(of_asked, default=-1) > bits:
+            pairs.append((rows.where(F.col("size") == bits), asked.where(F.col("size") > bits)))
+        for some_rows, some_asked in pairs:
+            part = search(some_rows, some_asked, bits)
+            found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = search(rows, asked, longest)
+    nearest = Window.partitionBy("query_id").orderBy("distance", F.col("vec_id").asc_nulls_last())
+    return (
+        found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
+        .select("query_id.query_id", "rank", "vec_id", "distance")
+    )

@@ -21,12 +21,13 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op1_topk_search(spark: SparkSession, folder: str) -> DataFrame:
-    """The ten nearest sign codes, by Hamming distance, to every row whose id is divisible by 50."""
-    vectors = read_table(spark, folder, "embeddings")
-    bits = vectors.agg(F.max(F.size("embedding"))).first()[0] or 1
-    codes = vectors.select("vec_id", hamming_search.sign_code(F.col("embedding"), bits).alias("code"))
-    queries = codes.where("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
-    return hamming_search.top_k(codes, queries, 10, bits)
+    """The ten nearest sign codes, by Hamming distance, to every row whose id is divisible by 50.
+
+    Vectors of different sizes are compared over the entries both have.
+    """
+    vectors = read_table(spark, folder, "embeddings").select("vec_id", "embedding")
+    queries = vectors.where("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
+    return hamming_search.top_k_signs(vectors, queries, 10, "vec_id", "query_id", "embedding")
 
 
 def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:

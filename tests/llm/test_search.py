@@ -53,3 +53,23 @@ def test_query_against_sql(spark, folder):
     want = con.sql(SQL["op1_topk_search"])
     got = [tuple(r) for r in QUERIES["op1_topk_search"](spark, folder).select(*want.columns).collect()]
     assert sorted(got) == sorted(want.fetchall())
+
+
+@pytest.mark.parametrize("more", [{0: 65}, {0: 65, 3: 63, 100: 0}])
+def test_vectors_of_other_sizes_against_sql(spark, tmp_path, more):
+    rng = random.Random(3)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(more.get(i, 64))]) for i in range(180)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = con.sql(SQL["op1_topk_search"])
+    got = [tuple(r) for r in QUERIES["op1_topk_search"](spark, str(tmp_path)).select(*want.columns).collect()]
+    assert sorted(got) == sorted(want.fetchall()) and len(got) == 40
+
+
+def test_same_query_id_beyond_the_common_entries(spark):
+    schema = "id int, v array<int>"
+    base = spark.createDataFrame([(1, [1]), (2, [1, 1]), (3, [1, -1]), (4, None)], schema)
+    asked = spark.createDataFrame([(9, [1, 1]), (9, [1, -1]), (8, None)], schema)
+    got = [tuple(r) for r in hs.top_k_signs(base, asked, 2, "id", "id", "v").collect()]
+    assert sorted(got) == [(9, 1, 1, 0), (9, 1, 1, 0), (9, 2, 2, 0), (9, 2, 3, 0)]
