@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+import pytest
+
 from stocktrail.llm.queries import QUERIES
 from stocktrail.llm.secret_scan import BASE_KINDS, GAP, find_secrets, redact, scan
 
@@ -52,6 +54,14 @@ def test_weak_parts_only_together():
     assert kinds("user=alice\n \npassword=hunter2") == []  # a blank line ends the scope
 
 
+@pytest.mark.parametrize("letter", ["x", "ы", "字", "😀"])
+def test_gap_counts_code_points(letter):
+    between = lambda n: " " + letter * (n - 2) + " "
+    assert kinds("字 user=alice" + between(GAP) + "password=hunter2") == ["identifier", "secret"]
+    assert kinds("字 user=alice" + between(GAP + 1) + "password=hunter2") == []
+    assert kinds("字 https://h.example" + between(GAP - 11) + "user=alice password=hunter2") == ["endpoint", "identifier", "secret"]
+
+
 def test_query_against_plain_patterns(spark, folder, documents):
     rows = {r["doc_id"]: r for r in QUERIES["op5_secret_scan"](spark, folder).collect()}
     assert rows.keys() == documents.keys()
