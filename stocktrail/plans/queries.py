@@ -841,12 +841,23 @@ def report_order(spark, folder):
 
 @query
 def ledger_order(spark, folder):
-    """Row numbers of the ledger's order: item, day of posting, movement."""
+    """Row numbers of the day totals of incoming stock, by item and day of posting.
+
+    The order of the ledger's movements is `ledger_movement_order`.
+    """
     rows = erp_tables(spark, folder)["OINM"].groupBy("ItemCode", "DocDate").agg(F.sum("InQty").alias("qty_in"))
     order = [F.col("ItemCode").asc_nulls_last(), F.col("DocDate").asc_nulls_last()]
     return plain(windows.number_rows(rows, order, "row_no", distinct_order=True))
 
 
+@query
+def ledger_movement_order(spark, folder):
+    """Row numbers of every ledger row in the published order, by day of creation; movement number and item break ties."""
+    rows = ledger.movement_ledger(erp_tables(spark, folder)).select("created", "movement_no", "item")
+    order = [F.col(c).asc_nulls_last() for c in rows.columns]
+    return plain(windows.number_rows(rows, order, "row_no"))
+
+
 @query
 def trace_order(spark, folder):
     """Row numbers of the published order of the order trace, over its distinct order keys."""

@@ -66,5 +66,12 @@ def test_query_with_every_group_split(spark, duck, name):
         spark.conf.unset(HOT_ROWS_CONF)
 
 
+def test_ledger_order_numbers_every_movement(spark):
+    got = entry_points.queries()["ledger_movement_order"](spark, str(DATA)).toPandas().sort_values("row_no")
+    assert len(got) == entry_points.queries()["movement_ledger"](spark, str(DATA)).count()
+    assert list(got["row_no"]) == list(range(1, len(got) + 1))
+    assert got["created"].is_monotonic_increasing
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
