@@ -63,4 +63,60 @@ from (select *, row_number() over (partition by query_id order by distance, vec_
 where rank <= 10
 """
 
-SQL = {"op1_topk_search": OP1, "op8_decontaminate": OP8}
+# Words with their CRC-32, from its polynomial by bits; then counts by bucket, gains, scores and ranks.
+OP12 = r"""
+with crc_table as (
+    select list_transform(range(256), lambda n: list_reduce(
+               list_prepend(n, list_transform(range(8), lambda r: cast(0 as bigint))),
+               lambda c, r: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end)) as t
+), doc_words as (
+    select doc_id, rowid_, unnest(words) as word
+    from (select doc_id, row_number() over () as rowid_, regexp_extract_all(translate(coalesce(text, ''),
+                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents)
+), target_words as (
+    select unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as word from benchmark
+), doc_counts as (
+    select doc_id, rowid_, word, count(*) as k from doc_words group by all
+), target_counts as (
+    select word, count(*) as k from target_words group by all
+), spelled as (
+    select word, hex(encode(word)) as h
+    from (select word from doc_counts union select word from target_counts)
+), buckets as (
+    select word, xor(4294967295, list_reduce(
+               list_prepend(cast(4294967295 as bigint), list_transform(range(length(h) // 2),
+                   lambda i: cast('0x' || substr(h, cast(2 * i + 1 as int), 2) as bigint))),
+               lambda c, b: xor(c >> 8, t[cast(xor(c, b) & 255 as int) + 1]))) % 10000 as bucket
+    from spelled, crc_table
+), of_docs as (
+    select bucket, sum(k) as s from doc_counts join buckets using (word) group by bucket
+), of_target as (
+    select bucket, sum(k) as t from target_counts join buckets using (word) group by bucket
+), gains as (
+    select bucket, cast(floor(1000 * ln((coalesce(t, 0) + 1.0::double) * ((select coalesce(sum(s), 0) from of_docs) + 10000)
+               / ((coalesce(s, 0) + 1.0::double) * ((select coalesce(sum(t), 0) from of_target) + 10000)))) as bigint) as gain
+    from of_docs full join of_target using (bucket)
+), weighed as (
+    select rowid_, sum(k) as n_features, cast(floor(sum(k * gain) / sum(k)) as bigint) as weight
+    from doc_counts join buckets using (word) join gains using (bucket)
+    group by rowid_
+), numbered as (
+    select doc_id, row_number() over () as rowid_ from documents
+), scored as (
+    select doc_id, cast(coalesce(n_features, 0) as bigint) as n_features, coalesce(weight, 0) as weight,
+           cast(coalesce(weight, 0) + floor(-1000 * ln(-ln((cast('0x' || substr(sha256('2024:' || coalesce(cast(doc_id as varchar), '')), 1, 8)
+                as bigint) + 0.5::double) / 4294967296))) as bigint) as score
+    from numbered left join weighed using (rowid_)
+), able as (
+    select *, row_number() over (partition by n_features >= 20 order by score desc, doc_id) as place,
+           count(*) filter (n_features >= 20) over () as n
+    from scored
+)
+select doc_id, n_features, weight, score,
+       case when n_features >= 20 and place <= 10 * n // 100 then place end as rank
+from able
+"""
+
+SQL = {"op1_topk_search": OP1, "op8_decontaminate": OP8, "op12_importance_sample": OP12}

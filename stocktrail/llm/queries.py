@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocktrail.llm.bpe_codec import round_trip_digests
-from stocktrail.llm import chunk_dedup, hamming_search, html_text, quality_gam, secret_scan, url_filter
+from stocktrail.llm import (
+    chunk_dedup, hamming_search, html_text, importance_sample, quality_gam, secret_scan, source_mix, url_filter, whitening,
+)
 from stocktrail.llm.common import held_out, read_table
 from stocktrail.llm.decontaminate import find_contamination, hit_words
 from stocktrail.llm.simhash_dedup import hex_digits, near_duplicate_classes
@@ -112,6 +114,22 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "source", "text")
+    mixed = source_mix.mix(source_mix.count_words(docs, "text", drop=("text",)))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
+
+
+def op12_importance_sample(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = importance_sample.resample(documents(spark, folder), read_table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    whitened = whitening.whiten(read_table(spark, folder, "embeddings"))
+    return whitened.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
 QUERIES = {
     "op1_topk_search": op1_topk_search,
     "op2_substring_dedup": op2_substring_dedup,
@@ -123,4 +141,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_quality": op10_quality,
+    "op11_source_mix": op11_source_mix,
+    "op12_importance_sample": op12_importance_sample,
+    "op13_whitening": op13_whitening,
 }
