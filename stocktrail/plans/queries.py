@@ -20,7 +20,7 @@ from ..operators.skew import left_join
 from ..runtime import materialize, shared_dir
 from ..sources import readers, writers
 from ..sources.schemas import schema
-from . import daily, ledger, netting, production, receipts, report, sales_orders
+from . import daily, ledger, netting, order_balance, production, receipts, report, sales_orders
 from .erp_tables import CUTOFF, erp_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -626,8 +626,7 @@ def sales_order_trace_ignore_late(spark, folder):
 
 @query
 def sales_order_balance(spark, folder):
-    trace = sales_orders.sales_order_trace(erp_tables(spark, folder), CUTOFF)
-    return plain(sales_orders.sales_order_balance(trace, CUTOFF))
+    return plain(order_balance.order_balance(erp_tables(spark, folder), CUTOFF))
 
 
 @query
@@ -719,7 +718,7 @@ def _net_layers(spark, folder, missing):
     t = erp_tables(spark, folder)
     moved = (F.col("qty_in"), F.col("qty_out"))
     held = materialize(windows.stock_at_cutoff(_erp_stock(t), "item", "created", *moved, day()))
-    sales = materialize(sales_orders.sales_order_balance(sales_orders.sales_order_trace(t, CUTOFF), CUTOFF))
+    sales = materialize(order_balance.order_balance(t, CUTOFF))
     made = materialize(production.production_order_balance(t, CUTOFF))
     return netting.net_layers(receipts.inbound_receipts(t, CUTOFF), held, sales, made, missing)
 

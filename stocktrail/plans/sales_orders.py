@@ -164,16 +164,25 @@ def sales_order_balance(trace: DataFrame, cutoff: dt.date) -> DataFrame:
         return F.when(known, F.sum(F.when(F.col("kind") == kind, F.col("qty"))).over(group))
 
     wide = sums.select(*keys, "kind", "head", *[total(k).alias(k) for k in _KINDS]).filter(F.col("kind") == "head")
+    return netted(wide.select("head.*", *keys, *_KINDS))
+
+
+def netted(wide: DataFrame) -> DataFrame:
+    """Net delivered and open quantity and state from the four sums.
+
+    Without deliveries, credits do not count.
+    """
     delivered, returned = (F.coalesce(F.col(c), F.lit(0.0)) for c in ("delivered", "returned"))
     credited = F.when(delivered == 0, F.lit(0.0)).otherwise(F.coalesce(F.col("credited"), F.lit(0.0)))
     out = wide.select(
-        "head.so_created",
-        "head.so_cancelled",
-        *keys,
-        "head.so_client",
-        "head.so_status",
-        "head.so_due",
-        "head.so_payment_group",
+        "so_created",
+        "so_cancelled",
+        "so_number",
+        "so_item",
+        "so_client",
+        "so_status",
+        "so_due",
+        "so_payment_group",
         F.col("ordered").alias("so_ordered"),
         F.when(F.col("ordered").isNotNull(), delivered - returned - credited).alias("so_net_delivered"),
     )

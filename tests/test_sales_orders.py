@@ -1,12 +1,14 @@
 """Order trace and balance on hand-made documents."""
 
 import datetime as dt
+import random
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from stocktrail.operators.links import Documents, alternative_link_join
+from stocktrail.plans.order_balance import order_balance
 from stocktrail.plans.production import production_order_balance
 from stocktrail.plans.sales_orders import order_fulfilment, sales_order_balance, sales_order_trace
 from stocktrail.sources.schemas import DDL, schema
@@ -55,7 +57,11 @@ def child(entry, base_type, base, qty, no=0, base_line=0, **extra):
 
 
 def balance(t, **kw):
-    return sales_order_balance(sales_order_trace(t, CUTOFF, **kw), CUTOFF).collect()
+    """Straight from the documents; the sums over the trace must be the same rows."""
+    got = order_balance(t, CUTOFF, **kw).collect()
+    over_trace = sales_order_balance(sales_order_trace(t, CUTOFF, **kw), CUTOFF)
+    assert sorted(map(str, got)) == sorted(map(str, over_trace.select(*order_balance(t, CUTOFF, **kw).columns).collect()))
+    return got
 
 
 def test_delivered_and_returned(spark):
@@ -191,3 +197,63 @@ def test_fulfilment_union(spark):
     got = {r["payment_form"]: r for r in order_fulfilment(t).collect()}
     assert got["Credito"]["dl_qty"] == 6 and got["Credito"]["inv_qty"] is None
     assert got["Contado"]["inv_qty"] == 4 and got["Contado"]["dl_qty"] is None
+
+
+def random_documents(seed, lines=24):
+    """Few documents with many links: several per line, shared numbers, cancelled and late ones, open links."""
+    rng = random.Random(seed)
+
+    def maybe(value, chance=0.08):
+        return None if rng.random() < chance else value
+
+    def heads(n):
+        days = [EARLY, EARLY, LATE, None]
+        return [head(e, rng.choice(days), rng.choice("NNNY")) | {"DocNum": maybe(1000 + rng.randrange(n + 2))} for e in range(n)]
+
+    def children(n, kinds, spread, count=lines):
+        return [
+            child(rng.randrange(n), maybe(rng.choice(kinds)), maybe(rng.randrange(spread)), rng.randrange(1, 9), no=maybe(rng.randrange(3)),
+                  base_line=maybe(rng.randrange(3)), DropShip=rng.choice("NNY"))
+            for _ in range(count)
+        ]
+
+    return {
+        "ORDR": [order(e, rng.choice("NNY")) | {"DocNum": maybe(100 + rng.randrange(4))} for e in range(5)],
+        "RDR1": [line(maybe(rng.randrange(3)), maybe(rng.choice(["A1", "A2"])), rng.randrange(1, 9), rng.randrange(6)) for _ in range(14)],
+        "OINV": heads(5),
+        "INV1": children(5, [17, 15, 13], 5, 18),
+        "ODLN": heads(5),
+        "DLN1": children(5, [17, 13], 5, 18),
+        "ORDN": heads(4),
+        "RDN1": children(4, [15, 15, 17], 5, 12),
+        "ORIN": heads(4),
+        "RIN1": children(4, [15, 13], 5, 18),
+    }
+
+
+@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("late_docs", ["drop", "ignore"])
+def test_balance_from_documents_equals_balance_over_trace(spark, seed, late_docs):
+    t = tables(spark, **random_documents(seed))
+    assert balance(t, late_docs=late_docs)
+
+
+def test_balance_needs_no_product(spark):
+    """One line with 40 documents of each kind: the trace holds their product, the balance's joins do not."""
+    n = range(40)
+    t = tables(
+        spark,
+        ORDR=[order()],
+        RDR1=[line()],
+        OINV=[head(100 + i) for i in n],
+        INV1=[child(100 + i, 17, 1, 1) for i in n],
+        ODLN=[head(200 + i) for i in n],
+        DLN1=[child(200 + i, 17, 1, 1) for i in n],
+        ORDN=[head(300 + i) for i in n],
+        RDN1=[child(300 + i, 15, 200, 1) for i in n],
+        ORIN=[head(400 + i) for i in n],
+        RIN1=[child(400 + i, 13, 100, 1, DropShip="N") for i in n],
+    )
+    assert sales_order_trace(t, CUTOFF).count() == (40 + 39) * 79
+    (row,) = order_balance(t, CUTOFF).collect()
+    assert (row["so_ordered"], row["so_net_delivered"]) == (10, 40 - 40 - 40)
