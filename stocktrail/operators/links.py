@@ -21,17 +21,19 @@ class Documents:
     """Lines with their header in ``rows``; the same lines without it in ``lines``.
 
     Work that needs the link columns only reads ``lines`` and saves the header join.
+    ``most`` bounds the lines that share one base link (type, entry, line); None if unknown.
     """
 
     rows: DataFrame
     lines: DataFrame
+    most: int | None = None
 
     def where_line(self, condition: Column) -> Documents:
-        return Documents(self.rows.filter(condition), self.lines.filter(condition))
+        return Documents(self.rows.filter(condition), self.lines.filter(condition), self.most)
 
     def where_header(self, condition: Column) -> Documents:
         kept = self.rows.filter(condition)
-        return Documents(kept, kept)
+        return Documents(kept, kept, self.most)
 
 
 def documents(
@@ -43,6 +45,7 @@ def documents(
     gate: Column | None = None,
     how: str = "left",
     entry: str = "DocEntry",
+    most: int | None = None,
 ) -> Documents:
     """Lines with the header of their own document, columns prefixed.
 
@@ -56,7 +59,7 @@ def documents(
     heads = renamed(heads, {entry: f"{prefix}_entry", **{c: f"{prefix}_{n}" for c, n in header_cols.items()}})
     lines = renamed(line, {entry: f"_{prefix}_of", **{c: f"{prefix}_{n}" for c, n in line_cols.items()}})
     joined = lines.join(heads, lines[f"_{prefix}_of"] == heads[f"{prefix}_entry"], how)
-    return Documents(joined.drop(f"_{prefix}_of"), lines.drop(f"_{prefix}_of"))
+    return Documents(joined.drop(f"_{prefix}_of"), lines.drop(f"_{prefix}_of"), most)
 
 
 def document_lines(*args, **kwargs) -> DataFrame:
@@ -71,15 +74,17 @@ def follow(
     base_type: int,
     on: list[tuple[str, str]],
     limit: int | None = None,
+    by: list[str] | None = None,
 ) -> DataFrame:
     """Left join to follow-up lines that name the parent as their base document.
 
     ``on`` pairs a parent column with the child's ``base_entry``, ``base_line``, and where the
-    chain asks for it ``item``.
+    chain asks for it ``item``. With ``by`` parents without the link are scattered by these columns,
+    and the scatter column stays for the next join on the same link.
     """
     typed = F.col(f"{prefix}_base_type") == F.lit(base_type)
     keys = [(p, f"{prefix}_{c}") for p, c in on]
-    return left_join(parents, child.rows.filter(typed), keys, limit, child.lines.filter(typed))
+    return left_join(parents, child.rows.filter(typed), keys, limit, child.most, by, keep_spread=True)
 
 
 def alternative_link_join(
@@ -88,6 +93,7 @@ def alternative_link_join(
     prefix: str,
     arms: list[tuple[int, str, str]],
     limit: int | None = None,
+    by: list[str] | None = None,
 ) -> DataFrame:
     """Left join to child lines reachable by any of several (type, entry, line) links.
 
@@ -96,7 +102,9 @@ def alternative_link_join(
     the distinct link columns alone; it then takes one row per distinct existing link, or one
     row without any, and joins the children on it.  All joins are equi-joins, the parents are
     read once, and an arm on the key of the preceding join needs no new shuffle.
+    Parents without a link are scattered by the columns ``by``, else by all that can be hashed.
     """
+    by = parents.columns if by is None else by
     keys = ["_t", "_e", "_l"]
     base = [f"{prefix}_base_type", f"{prefix}_base_entry", f"{prefix}_base_line"]
     typed = F.col(base[0]).isin([a[0] for a in arms])
@@ -104,10 +112,9 @@ def alternative_link_join(
     rows, links = parents, []
     for i, (kind, entry, line) in enumerate(arms):
         of_kind = present.filter(F.col("_t") == kind).select(F.col("_e").alias(f"_e{i}"), F.col("_l").alias(f"_l{i}"))
-        of_kind = of_kind.distinct()
-        rows, of_kind = spread_null_keys(rows, of_kind, [entry, line], [f"_e{i}", f"_l{i}"])
+        rows, of_kind, spread = spread_null_keys(rows, of_kind.distinct(), [entry, line], [f"_e{i}", f"_l{i}"], by)
         same = (rows[entry] == of_kind[f"_e{i}"]) & (rows[line] == of_kind[f"_l{i}"])
-        rows = rows.join(of_kind, same & (rows["_lspread"] == of_kind["_rspread"]), "left").drop("_lspread", "_rspread")
+        rows = rows.join(of_kind, same & (rows[spread] == of_kind["_rspread"]), "left").drop("_rspread")
         link = F.struct(
             F.lit(kind).cast("bigint").alias("_t"), F.col(f"_e{i}").alias("_e"), F.col(f"_l{i}").alias("_l")
         )
@@ -116,7 +123,7 @@ def alternative_link_join(
     resolved = rows.withColumn("_link", F.explode_outer(found))
     resolved = resolved.select(*parents.columns, *[F.col("_link")[k].alias(k) for k in keys])
     on = list(zip(keys, base))
-    return left_join(resolved, child.rows.filter(typed), on, limit, child.lines.filter(typed)).drop(*keys)
+    return left_join(resolved, child.rows.filter(typed), on, limit, child.most, by).drop(*keys)
 
 
 def document_index(headers: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
@@ -137,11 +144,17 @@ def document_index(headers: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
 
 
 def polymorphic_join(
-    movements: DataFrame, index: DataFrame, kind: str, number: str, limit: int | None = None
+    movements: DataFrame,
+    index: DataFrame,
+    kind: str,
+    number: str,
+    limit: int | None = None,
+    most: int | None = None,
+    by: list[str] | None = None,
 ) -> DataFrame:
     """Attach the document a movement belongs to."""
     keyed = movements.withColumn("_number", F.col(number).cast("string"))
-    joined = left_join(keyed, index, [(kind, "doc_type"), ("_number", "doc_number")], limit)
+    joined = left_join(keyed, index, [(kind, "doc_type"), ("_number", "doc_number")], limit, most, by)
     return joined.drop("_number", "doc_type", "doc_number")
 
 
@@ -152,12 +165,16 @@ def lookup(
     take: dict[str, str],
     unique: str | None = None,
     limit: int | None = None,
+    most: int | None = None,
+    by: list[str] | None = None,
 ) -> DataFrame:
     """Left join that adds the ``take`` columns under new names.
 
     Repeated right keys repeat left rows.  ``unique="check"`` raises on them instead;
     ``unique="given"`` says the key is a primary key or was just grouped by, so there is
-    nothing to check or split.  No broadcast is forced: Spark picks it from the measured size.
+    nothing to check or split; else ``most`` bounds the right rows of a key, if that is known.
+    Left rows without a key are scattered by the columns ``by``, see `left_join`.
+    No broadcast is forced: Spark picks it from the measured size.
     """
     right_cols = {rk: f"_key_{i}" for i, (_, rk) in enumerate(on)}
     table = right.select(
@@ -168,13 +185,7 @@ def lookup(
     if unique == "check":
         assert_unique_key(table, keys)
     pairs = list(zip([lk for lk, _ in on], keys))
-    if unique:
-        left, table = spread_null_keys(left, table, [lk for lk, _ in pairs], keys)
-        pairs = [*pairs, ("_lspread", "_rspread")]
-        joined = left.join(table, reduce(lambda a, b: a & b, [left[lk] == table[k] for lk, k in pairs]), "left")
-        joined = joined.drop("_lspread", "_rspread")
-    else:
-        joined = left_join(left, table, pairs, limit)
+    joined = left_join(left, table, pairs, limit, 1 if unique else most, by)
     return joined.drop(*keys)
 
 

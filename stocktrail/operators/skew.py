@@ -10,6 +10,9 @@ threshold take the ordinary plan.  Keys above it are split:
   small per-partition offset;
 * joins: the many-row side is salted, the other side repeated once per salt.
 
+No count runs where an upper bound is known: of written tables, and of document keys, which
+`plans.key_sizes` bounds for all tables of a run in one pass.
+
 The set of hot keys is bounded by rows / threshold. It is a written table, so Spark knows its
 size and broadcasts it only while it is small; nothing here forces a broadcast.
 """
@@ -22,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import hot_rows, materialize
+from ..runtime import hot_rows, materialize, written_rows
 
 BLOCK = "_block"
 
@@ -39,17 +42,22 @@ def _prefixed(df: DataFrame, keys: list[str], prefix: str, *extra: str) -> DataF
     return df.select(*[F.col(f"`{k}`").alias(prefix + k) for k in keys], *extra)
 
 
-def hot_groups(df: DataFrame, keys: list[str], limit: int | None = None) -> DataFrame | None:
+def hot_groups(df: DataFrame, keys: list[str], limit: int | None = None, most: int | None = None) -> DataFrame | None:
     """Keys with more than ``limit`` rows and their ``_rows``; None when there is none.
 
-    A table that is not larger than ``limit`` cannot hold such a key, so the plain count,
-    which needs no shuffle, comes first.
+    ``most`` is a known upper bound of the rows of a key, or of the table. Up to the limit nothing is
+    counted. Else a table that is not larger than ``limit`` cannot hold such a key, so the
+    plain count, which needs no shuffle, comes first.
     """
     limit = limit or hot_rows(df.sparkSession)
-    if df.count() <= limit:
+    if most is None:
+        most = written_rows(df)
+    if most is None:
+        most = df.count()
+    if most <= limit:
         return None
     found = materialize(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > limit))
-    return None if found.isEmpty() else found
+    return found if written_rows(found) else None
 
 
 def split_hot(df: DataFrame, keys: list[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -107,57 +115,31 @@ def block_offsets(blocks: DataFrame, keys: list[str], sums: dict[str, Column]) -
     return totals.select(*keys, BLOCK, *[total_before(F.col(n), frame).alias(n) for n in sums])
 
 
-def sums_before(
-    df: DataFrame,
-    keys: list[str],
-    order: list[Column],
-    sums: dict[str, Column],
-    limit: int | None = None,
-) -> DataFrame:
-    """Add, per row, the sum of each expression over the rows ahead of it in its group.
+def spread_name(keys: list[str]) -> str:
+    """Name of the column that scatters rows without these keys; joins on the same keys share it and so its exchange."""
+    return "_spread_" + "_".join(keys)
 
-    With no keys the whole table is one group.
-    """
-    limit = limit or hot_rows(df.sparkSession)
-    hot = hot_groups(df, keys, limit)
-    hot_part, plain = (None, df) if hot is None else split_hot(df, keys, hot) if keys else (df, None)
-    parts = []
-    if plain is not None:
-        frame = before(keys, [*order, *tie_break(df, keys)])
-        parts.append(plain.select("*", *[total_before(c, frame).alias(n) for n, c in sums.items()]))
-    if hot_part is not None:
-        rows = hot.agg(F.sum("_rows")).first()[0]
-        blocks = ordered_blocks(hot_part, keys, order, rows, limit)
-        shifted = {f"_ahead_{n}": c for n, c in sums.items()}
-        offsets = block_offsets(blocks, keys, shifted)
-        frame = before([*keys, BLOCK], row_order(order, blocks, keys))
-        joined = attach_offsets(blocks, offsets, keys, list(shifted))
-        summed = joined.select(
-            *df.columns,
-            *[(F.col(f"_ahead_{n}") + total_before(c, frame)).alias(n) for n, c in sums.items()],
-        )
-        parts.append(summed)
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _identity(df: DataFrame, keys: list[str]) -> list[Column]:
-    """Every column that can be hashed; the row's identity may be in any of them."""
-    return [c for c in tie_break(df, keys)] or [F.lit(0)]
-
-
-def spread_null_keys(left: DataFrame, right: DataFrame, lkeys: list[str], rkeys: list[str]):
-    """Give both sides one more join key that scatters left rows with a null key.
+
+def spread_null_keys(left: DataFrame, right: DataFrame, lkeys: list[str], rkeys: list[str], by: list[str]):
+    """Give both sides one more join key that scatters left rows with a null key over many tasks.
 
     Such rows match nothing, but would all be shuffled to one task.  Rows with a full key get
     0, as does every right row; the right value is computed from the key so that it stays a
-    join key and is not folded away.  The scatter is a hash of the whole row, as wide as the hash is, so any
-    number of such rows spreads over any number of tasks.
+    join key and is not folded away.  The scatter is a hash of the columns ``by``, which should tell
+    the left rows apart, and of the keys themselves; no other column is read for it. A left
+    side that already has the column keeps it.
     """
-    missing = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in lkeys])
-    scatter = F.xxhash64(*_identity(left, lkeys))
-    left = left.withColumn("_lspread", F.when(missing, scatter).otherwise(F.lit(0).cast("bigint")))
+    name = spread_name(lkeys)
+    if name not in left.columns:
+        missing = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in lkeys])
+        scatter = F.xxhash64(*[F.col(f"`{c}`") for c in dict.fromkeys([*by, *lkeys])])
+        left = left.withColumn(name, F.when(missing, scatter).otherwise(F.lit(0).cast("bigint")))
     zero = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in rkeys]), F.lit(1))
-    return left, right.withColumn("_rspread", zero)
+    return left, right.withColumn("_rspread", zero), name
+
+
+def drop_spread(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith("_spread_")])
 
 
 def left_join(
@@ -165,28 +147,33 @@ def left_join(
     right: DataFrame,
     on: list[tuple[str, str]],
     limit: int | None = None,
-    sizes: DataFrame | None = None,
+    most: int | None = None,
+    by: list[str] | None = None,
+    keep_spread: bool = False,
 ) -> DataFrame:
     """Left outer join whose right side may hold very many rows of one key.
 
-    A skewed left side is split by AQE, and left rows without a key are scattered; a skewed
-    right side of an outer join is not split, so hot right keys are salted here.  A hot key is known to exist on the right, so every left row
-    that carries it matches and its unmatched salts can be dropped.
+    A skewed left side is split by AQE. Left rows without a key are scattered by the columns ``by``, which
+    should tell them apart; without ``by`` by all columns, with an empty list not at all.
+    ``keep_spread`` leaves the scatter column to following joins on the same keys.
 
-    ``sizes`` is a cheaper table with the same keys and rows per key as ``right``, used for
-    counting only.
+    A skewed right side of an outer join is not split by AQE, so hot right keys are salted here.
+    A hot key is known to exist on the right, so every left row that carries it matches and its
+    unmatched salts can be dropped. ``most`` is a known upper bound of right rows per key.
     """
     limit = limit or hot_rows(right.sparkSession)
     lkeys, rkeys = [k for k, _ in on], [k for _, k in on]
-    known = _all([F.col(f"`{k}`").isNotNull() for k in rkeys])
-    usable = right.filter(known)
-    hot = hot_groups(usable if sizes is None else sizes.filter(known), rkeys, limit)
-    left, usable = spread_null_keys(left, usable, lkeys, rkeys)
-    on = [*on, ("_lspread", "_rspread")]
+    usable = right.filter(_all([F.col(f"`{k}`").isNotNull() for k in rkeys]))
+    hot = hot_groups(usable, rkeys, limit, most)
     if hot is None:
-        joined = left.join(usable, _all([left[lk] == usable[rk] for lk, rk in on]), "left")
-        return joined.drop("_lspread", "_rspread")
-
+        return _plain_left_join(left, usable, on, by, keep_spread)
+
+    pairs, spread = on, spread_name(lkeys)
+    had = spread in left.columns
+    by = _hashable(left) if by is None else by
+    if by or had:
+        left, usable, spread = spread_null_keys(left, usable, lkeys, rkeys, by)
+        pairs = [*on, (spread, "_rspread")]
     salts = hot.withColumn("_salts", F.ceil(F.col("_rows") / F.lit(limit)).cast("int"))
     for_right = _prefixed(salts, rkeys, "_hot_", "_salts")
     same = _all([usable[k] == for_right["_hot_" + k] for k in rkeys])
@@ -198,12 +185,29 @@ def left_join(
     salted = hot_side.unionByName(cold_side).drop("_salts").withColumn("_hit", F.lit(True))
 
     for_left = _prefixed(salts, rkeys, "_hot_", "_salts")
-    same = _all([left[lk] == for_left["_hot_" + rk] for lk, rk in zip(lkeys, rkeys)])
+    same = _all([left[lk] == for_left["_hot_" + rk] for lk, rk in on])
     repeated = left.join(for_left, same, "left").drop(*["_hot_" + k for k in rkeys])
     repeated = repeated.withColumn(
         "_lsalt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
     )
-    equal = [repeated[lk] == salted[rk] for lk, rk in on]
+    equal = [repeated[lk] == salted[rk] for lk, rk in pairs]
     joined = repeated.join(salted, _all([*equal, repeated["_lsalt"] == salted["_rsalt"]]), "left")
     kept = joined.filter(F.col("_hit").isNotNull() | F.col("_salts").isNull())
-    return kept.drop("_lsalt", "_rsalt", "_hit", "_salts", "_lspread", "_rspread")
+    kept = kept.drop("_lsalt", "_rsalt", "_hit", "_salts", "_rspread")
+    return kept if keep_spread or had else kept.drop(spread)
+
+
+def _plain_left_join(left, right, on, by, keep_spread):
+    lkeys, rkeys = [k for k, _ in on], [k for _, k in on]
+    had = spread_name(lkeys) in left.columns
+    by = _hashable(left) if by is None else by
+    if not by and not had:
+        return left.join(right, _all([left[lk] == right[rk] for lk, rk in on]), "left")
+    left, right, spread = spread_null_keys(left, right, lkeys, rkeys, by)
+    pairs = [*on, (spread, "_rspread")]
+    joined = left.join(right, _all([left[lk] == right[rk] for lk, rk in pairs]), "left").drop("_rspread")
+    return joined if keep_spread or had else joined.drop(spread)
+
+
+def _hashable(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]

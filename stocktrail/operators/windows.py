@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import snap_zero
-from ..runtime import hot_rows, materialize
+from ..runtime import hot_rows, materialize, with_rows_of
 from .skew import BLOCK, attach_offsets, before, hot_groups, ordered_blocks, split_hot, tie_break, total_before
 
 
@@ -53,7 +53,7 @@ def number_rows(
     sizes = written.groupBy(block.alias(BLOCK)).agg(F.count(F.lit(1)).alias("_rows"))
     ahead = sizes.select(BLOCK, total_before(F.col("_rows"), before([], [F.col(BLOCK)])).alias("_ahead"))
     joined = written.withColumn("_in", block).join(ahead, F.col("_in") == F.col(BLOCK))
-    return joined.select(*df.columns, (F.col("_ahead") + local + 1).cast("bigint").alias(name))
+    return with_rows_of(joined.select(*df.columns, (F.col("_ahead") + local + 1).cast("bigint").alias(name)), written)
 
 
 def net_by_day(ledger: DataFrame, item: str, day: str, qty_in: Column, qty_out: Column) -> DataFrame:
@@ -131,15 +131,19 @@ def fill_gaps(
     cols: list[str],
     backward: bool = False,
     limit: int | None = None,
+    most: int | None = None,
 ) -> DataFrame:
     """Replace null in ``cols`` by the last known value of the group, then (``backward``) the next.
 
-    ``order`` names ascending columns that identify a row within its group.
+    ``order`` names ascending columns; rows they do not tell apart follow their other columns,
+    so a group gives the same rows whether or not it is split. ``most`` is a known upper bound
+    of the rows of a group.
     """
     limit = limit or hot_rows(df.sparkSession)
     by = [F.col(f"`{o}`") for o in order]
+    by = [*by, *tie_break(df, [*keys, *order])]
     out_cols = df.columns
-    hot = hot_groups(df, keys, limit)
+    hot = hot_groups(df, keys, limit, most)
     parts = []
     if hot is None:
         parts.append(_fill(df, keys, by, cols, backward, carried=False))
@@ -165,6 +169,7 @@ def fill_within_group(
     cols: list[str],
     only: Column,
     limit: int | None = None,
+    most: int | None = None,
 ) -> DataFrame:
     """Fill ``cols`` down then up inside ``group``, for the rows where ``only`` holds.
 
@@ -175,7 +180,7 @@ def fill_within_group(
     rest = df.filter(~(applies & grouped))
     lost = applies & ~grouped
     rest = rest.withColumns({c: F.when(~lost, F.col(f"`{c}`")) for c in cols})
-    filled = fill_gaps(df.filter(applies & grouped), [group], order, cols, backward=True, limit=limit)
+    filled = fill_gaps(df.filter(applies & grouped), [group], order, cols, backward=True, limit=limit, most=most)
     return filled.unionByName(rest)
 
 

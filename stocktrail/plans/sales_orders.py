@@ -18,11 +18,16 @@ from ..functions import (
     voided_or_missing,
 )
 from ..operators.links import Documents, alternative_link_join, document_lines, documents, follow
+from ..operators.skew import drop_spread
+from .key_sizes import SizedTables, link, sized
 
 Tables = Mapping[str, DataFrame]
 
 ORDER, INVOICE, DELIVERY, RETURN, RETURN_REQUEST = 17, 13, 15, 16, 234
 
+TRACE_KEYS = [link(name) for name in ("INV1", "DLN1", "RDN1", "RIN1")]
+_ORDER_LINE = ["so_entry", "so_line"]  # tells rows apart where a chain has no document
+
 _BASE = {"BaseType": "base_type", "BaseEntry": "base_entry", "BaseLine": "base_line"}
 _HEAD = {"DocNum": "number", "DocStatus": "status", "CreateDate": "created", "DocDate": "posted"}
 _LINE = {"LineNum": "line", "Quantity": "qty", **_BASE}
@@ -58,7 +63,10 @@ def order_lines(t: Tables) -> DataFrame:
 
 def live_documents(t: Tables, header: str, line: str, prefix: str, extra: dict[str, str] | None = None) -> Documents:
     """Follow-up lines; only a header that is not cancelled is attached."""
-    return documents(t[header], t[line], prefix, _HEAD, {**_LINE, **(extra or {})}, F.col("CANCELED") == "N")
+    most = t.most(*link(line)) if isinstance(t, SizedTables) else None
+    return documents(
+        t[header], t[line], prefix, _HEAD, {**_LINE, **(extra or {})}, F.col("CANCELED") == "N", most=most
+    )
 
 
 def sales_order_trace(t: Tables, cutoff: dt.date, late_docs: str = "drop") -> DataFrame:
@@ -71,6 +79,7 @@ def sales_order_trace(t: Tables, cutoff: dt.date, late_docs: str = "drop") -> Da
     if late_docs not in ("drop", "ignore"):
         raise ValueError(f"unknown late_docs {late_docs!r}")
     day = F.lit(cutoff)
+    t = sized(t, TRACE_KEYS)
     delivery, returned = live_documents(t, "ODLN", "DLN1", "dl"), live_documents(t, "ORDN", "RDN1", "rt")
     if late_docs == "ignore":
         delivery = delivery.where_header(F.col("dl_created").isNull() | (F.col("dl_created") <= day))
@@ -79,21 +88,22 @@ def sales_order_trace(t: Tables, cutoff: dt.date, late_docs: str = "drop") -> Da
     by_delivery = [("dl_entry", "base_entry"), ("dl_line", "base_line")]
 
     rows = follow(
-        order_lines(t), live_documents(t, "OINV", "INV1", "inv"), "inv", ORDER, [("so_entry", "base_entry"), ("so_line", "base_line")]
+        order_lines(t), live_documents(t, "OINV", "INV1", "inv"), "inv", ORDER, [("so_entry", "base_entry"), ("so_line", "base_line")], by=_ORDER_LINE
     )
     rows = alternative_link_join(
-        rows, delivery, "dl", [(ORDER, "so_entry", "so_line"), (INVOICE, "inv_entry", "inv_line")]
+        rows, delivery, "dl", [(ORDER, "so_entry", "so_line"), (INVOICE, "inv_entry", "inv_line")], by=_ORDER_LINE
     )
     if late_docs == "drop":
         rows = rows.filter(outer_side_cutoff(F.col("dl_created"), cutoff=day))
-    rows = follow(rows, live_documents(t, "OINV", "INV1", "di"), "di", DELIVERY, by_delivery)
+    rows = follow(rows, live_documents(t, "OINV", "INV1", "di"), "di", DELIVERY, by_delivery, by=_ORDER_LINE)
     rows = alternative_link_join(
         rows,
         credit,
         "cn",
         [(DELIVERY, "dl_entry", "dl_line"), (INVOICE, "inv_entry", "inv_line"), (INVOICE, "di_entry", "di_line")],
+        by=_ORDER_LINE,
     )
-    rows = follow(rows, returned, "rt", DELIVERY, by_delivery)
+    rows = drop_spread(follow(rows, returned, "rt", DELIVERY, by_delivery, by=_ORDER_LINE))
     if late_docs == "drop":
         rows = rows.filter(outer_side_cutoff(F.col("rt_created"), cutoff=day))
     kept = [c for c in rows.columns if not c.endswith(("_base_type", "_base_entry", "cn_drop_ship"))]
@@ -199,13 +209,14 @@ def _head_type(trace: DataFrame) -> str:
 CREDIT, CASH = "Credito", "Contado"
 
 
-def _flagged(t: Tables, header: str, line: str, prefix: str) -> Documents:
+def _flagged(t: SizedTables, header: str, line: str, prefix: str) -> Documents:
     return documents(
         t[header],
         t[line],
         prefix,
         {"DocNum": "number", "DocDate": "posted", "CANCELED": "cancelled"},
         {"LineNum": "line", "ItemCode": "item", "Quantity": "qty", **_BASE},
+        most=t.most(*link(line)),
     )
 
 
@@ -219,24 +230,25 @@ def order_fulfilment(t: Tables) -> DataFrame:
     def on(prefix: str) -> list[tuple[str, str]]:
         return [(f"{prefix}_{a}", b) for a, b in (("entry", "base_entry"), ("line", "base_line"), ("item", "item"))]
 
+    t = sized(t, TRACE_KEYS)
     orders = order_lines(t).filter(item_prefix(F.col("so_item"), ("A", "MP")))
     delivery, invoice = _flagged(t, "ODLN", "DLN1", "dl"), _flagged(t, "OINV", "INV1", "inv")
     returned, requested = _flagged(t, "ORDN", "RDN1", "rt"), _flagged(t, "ORDN", "RDN1", "rq")
     credit = _flagged(t, "ORIN", "RIN1", "cn")
 
-    on_credit = follow(orders, delivery, "dl", ORDER, on("so")).filter(alive(F.col("dl_cancelled")))
-    on_credit = follow(on_credit, returned, "rt", DELIVERY, on("dl"))
+    on_credit = follow(orders, delivery, "dl", ORDER, on("so"), by=_ORDER_LINE).filter(alive(F.col("dl_cancelled")))
+    on_credit = follow(on_credit, returned, "rt", DELIVERY, on("dl"), by=_ORDER_LINE)
     on_credit = on_credit.filter(voided_or_missing(F.col("rt_cancelled")))
-    on_credit = follow(on_credit, requested, "rq", RETURN_REQUEST, on("so"))
-    on_credit = follow(on_credit, invoice, "inv", DELIVERY, on("dl")).filter(alive(F.col("inv_cancelled")))
-    on_credit = follow(on_credit, credit, "cn", INVOICE, on("inv"))
+    on_credit = follow(on_credit, requested, "rq", RETURN_REQUEST, on("so"), by=_ORDER_LINE)
+    on_credit = follow(on_credit, invoice, "inv", DELIVERY, on("dl"), by=_ORDER_LINE).filter(alive(F.col("inv_cancelled")))
+    on_credit = follow(on_credit, credit, "cn", INVOICE, on("inv"), by=_ORDER_LINE)
 
-    in_cash = follow(orders, invoice, "inv", ORDER, on("so")).filter(alive(F.col("inv_cancelled")))
-    in_cash = follow(in_cash, delivery, "dl", INVOICE, on("inv")).filter(alive(F.col("dl_cancelled")))
-    in_cash = follow(in_cash, returned, "rt", DELIVERY, on("dl"))
+    in_cash = follow(orders, invoice, "inv", ORDER, on("so"), by=_ORDER_LINE).filter(alive(F.col("inv_cancelled")))
+    in_cash = follow(in_cash, delivery, "dl", INVOICE, on("inv"), by=_ORDER_LINE).filter(alive(F.col("dl_cancelled")))
+    in_cash = follow(in_cash, returned, "rt", DELIVERY, on("dl"), by=_ORDER_LINE)
     in_cash = in_cash.filter(voided_or_missing(F.col("rt_cancelled")))
-    in_cash = follow(in_cash, requested, "rq", RETURN_REQUEST, on("so"))
-    in_cash = follow(in_cash, credit, "cn", RETURN, on("rt"))
+    in_cash = follow(in_cash, requested, "rq", RETURN_REQUEST, on("so"), by=_ORDER_LINE)
+    in_cash = follow(in_cash, credit, "cn", RETURN, on("rt"), by=_ORDER_LINE)
 
     def published(df: DataFrame, form: str) -> DataFrame:
         kept = df.filter(voided_or_missing(F.col("cn_cancelled"))).select(
@@ -244,6 +256,6 @@ def order_fulfilment(t: Tables) -> DataFrame:
             *[f"so_{c}" for c in ("line", "item", "qty", "line_status")],
             *[f"{p}_{c}" for p in ("dl", "rt", "rq", "inv", "cn") for c in ("number", "posted", "cancelled", "qty")],
         )
-        return kept.distinct().withColumn("payment_form", F.lit(form))
+        return drop_spread(kept).distinct().withColumn("payment_form", F.lit(form))
 
     return published(on_credit, CREDIT).unionByName(published(in_cash, CASH))

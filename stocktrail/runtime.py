@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 HOT_ROWS_CONF = "spark.stocktrail.hotRows"
 DEFAULT_HOT_ROWS = 1_000_000
 WORK_DIR_CONF = "spark.stocktrail.workDir"
+CHECKPOINT_CONF = "spark.checkpoint.dir"
+
+_rows: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
 
 
 def hot_rows(spark: SparkSession) -> int:
@@ -19,18 +25,20 @@ def hot_rows(spark: SparkSession) -> int:
 def shared_dir(spark: SparkSession) -> str:
     """Folder of this application that every executor can reach.
 
-    It lies below ``spark.stocktrail.workDir``, else ``spark.checkpoint.dir``, else the warehouse,
-    which Spark shares between driver and executors; no setting of the session is changed.
+    It lies below ``spark.stocktrail.workDir``, else ``spark.checkpoint.dir``. Where neither is set, a session
+    whose executors run inside the driver gets a temporary folder; on a cluster that is an error.
     """
     sc = spark.sparkContext
     base = (
         spark.conf.get(WORK_DIR_CONF, None)
-        or spark.conf.get("spark.checkpoint.dir", None)
-        or sc.getConf().get("spark.checkpoint.dir")
-        or spark.conf.get("spark.sql.warehouse.dir", None)
+        or spark.conf.get(CHECKPOINT_CONF, None)
+        or sc.getConf().get(CHECKPOINT_CONF)
     )
     if not base:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")
+        base = tempfile.mkdtemp(prefix="stocktrail-")
+        spark.conf.set(WORK_DIR_CONF, base)
     return f"{base.rstrip('/')}/stocktrail/{sc.applicationId}"
 
 
@@ -38,12 +46,26 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet in the run's folder and read it back.
 
     Unlike a cached result this survives lost executors, and readers still get
-    column pruning and filter pushdown.
+    column pruning and filter pushdown. The same job counts the rows, see `written_rows`.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    counted = Observation()
+    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    _rows[written] = counted.get["rows"]
+    return written
+
+
+def written_rows(df: DataFrame) -> int | None:
+    """Rows of a table that `materialize` has written; None for any other."""
+    return _rows.get(df)
+
+
+def with_rows_of(df: DataFrame, written: DataFrame) -> DataFrame:
+    """``df``, noted to have as many rows as the written table it was made from."""
+    _rows[df] = _rows[written]
+    return df
 
 
 def remove_work(spark: SparkSession) -> None:

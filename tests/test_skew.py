@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stocktrail.operators import skew
 from stocktrail.operators.allocate import allocate_layers
-from stocktrail.operators.skew import hot_groups, left_join, sums_before
+from stocktrail.operators.skew import hot_groups, left_join
 from stocktrail.operators.windows import fill_gaps, fill_within_group, number_rows
 
 LIMIT = 20
@@ -40,26 +40,45 @@ def block_sizes(monkeypatch):
     return seen
 
 
-@pytest.mark.parametrize("copies", [0, 150])
-def test_sums_before_equals_python(spark, block_sizes, copies):
-    data = skewed(300, 1, copies)
+def test_blocks_split_a_group(spark, block_sizes):
+    """One key with most rows, and one row repeated, spread over blocks of similar size."""
+    data = skewed(300, 1, 150)
     df = spark.createDataFrame(data, "k int, o int, q int").repartition(5)
-    got = sums_before(df, ["k"], [F.col("o")], {"ahead": F.col("q"), "n": F.lit(1)}, LIMIT)
-    want, total, count = Counter(), defaultdict(int), defaultdict(int)
-    for k, o, q in sorted(data, key=lambda r: (r[0], r[1])):
-        want[(k, o, q, total[k], count[k])] += 1
-        total[k] += q or 0
-        count[k] += 1
-    assert rows_of(got, "k", "o", "q", "ahead", "n") == want
+    assert fill_gaps(df, ["k"], ["o"], ["q"], limit=LIMIT).count() == len(data)
     assert max(block_sizes[0]) < 0.4 * sum(block_sizes[0])
 
 
-def test_null_key_is_a_group(spark):
-    data = [(None, i, 1) for i in range(60)] + [(1, i, 1) for i in range(5)]
-    df = spark.createDataFrame(data, "k int, o int, q int")
-    got = sums_before(df, ["k"], [F.col("o").desc()], {"ahead": F.col("q")}, LIMIT)
-    want = Counter({(None, i, 59 - i): 1 for i in range(60)}) + Counter({(1, i, 4 - i): 1 for i in range(5)})
-    assert rows_of(got, "k", "o", "ahead") == want
+@pytest.mark.parametrize("backward", [False, True])
+def test_tied_order_gives_equal_rows_at_every_limit(spark, backward):
+    rng = random.Random(8)
+    data = [(rng.choice([1, 1, 1, None]), rng.randrange(2), rng.choice([None, None, 1, 2, 3]), i % 5) for i in range(60)]
+    df = spark.createDataFrame(data, "k int, o int, v int, w int")
+    got = [rows_of(fill_gaps(df.repartition(n), ["k"], ["o"], ["v"], backward, limit), "k", "o", "v", "w") for n, limit in ((1, 1), (4, 3), (5, 1000))]
+    assert got[0] == got[1] == got[2]
+
+
+def test_known_bound_saves_the_count(spark):
+    df = spark.createDataFrame([(1,)] * 21, "k int")
+    assert hot_groups(df, ["k"], LIMIT, most=LIMIT) is None
+    assert hot_groups(df, ["k"], LIMIT, most=1000).count() == 1
+
+
+def test_scatter_reads_the_named_columns_only(spark, tmp_path):
+    rows = [(None if i % 2 else i, i, i, "x", "y") for i in range(100)]
+    spark.createDataFrame(rows, "a int, i int, v int, w string, z string").write.parquet(str(tmp_path / "t"))
+    left = spark.read.parquet(str(tmp_path / "t"))
+    right = spark.createDataFrame([(1, 7)], "b int, r int")
+    first = left_join(left, right, [("a", "b")], most=1, by=["i"], keep_spread=True)
+    second = left_join(first, right.withColumnsRenamed({"b": "c", "r": "s"}), [("a", "c")], most=1, by=["i"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = second.select("i", "v", "r", "s")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert "ReadSchema: struct<a:int,i:int,v:int>" in plan
+    assert plan.count("Exchange hashpartitioning(a#") == 1, plan  # the second join needs no new shuffle of the left side
 
 
 @pytest.mark.parametrize("parts", [1, 7, None])
