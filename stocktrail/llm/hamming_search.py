@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stocktrail.runtime import materialize
+from stocktrail.runtime import materialize, written_rows
 
 SEGMENT_BITS = 20  # widest segment
 
@@ -28,11 +29,10 @@ def distance(a: Column, b: Column, words: int) -> Column:
 
 
 def _word(vector: Column, at: int, size: int) -> Column:
-    value = nothing = F.lit(0).cast("bigint")
-    for i in range(size):
-        bit = (1 << i) - (1 << 64 if i == 63 else 0)
-        value = value.bitwiseOR(F.when(F.get(vector, F.lit(at + i)) > 0, F.lit(bit).cast("bigint")).otherwise(nothing))
-    return value
+    """Bits ``at`` to ``at + size`` as a number, the first one lowest: one fold from the last entry to the first."""
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    entries = F.reverse(F.slice(vector, at + 1, size))
+    return F.aggregate(entries, none, lambda word, x: F.shiftleft(word, 1).bitwiseOR(F.when(x > 0, one).otherwise(none)))
 
 
 def _segments(bits: int, codes: int) -> list[tuple[int, int, int]]:
@@ -52,6 +52,21 @@ def _value(code: Column, segment: tuple[int, int, int]) -> Column:
     return F.shiftrightunsigned(code[word], shift).bitwiseAND(F.lit((1 << width) - 1))
 
 
+def _steps(parts: list[tuple[int, int, int]]) -> Iterator[tuple[int, list[int], int]]:
+    """Radius, segments to look up, and the distance within which every code has been met afterwards.
+
+    The last step of a segment's whole width meets all codes.
+    """
+    for radius in range(max(width for _, _, width in parts) + 1):
+        open_parts = [i for i, (_, _, width) in enumerate(parts) if radius <= width]
+        groups = [open_parts] if radius < 2 else [[i] for i in open_parts]
+        done = len(parts) - len(open_parts)
+        for group in groups:
+            done += len(group)
+            whole = any(radius == parts[i][2] for i in group)
+            yield radius, group, 1 << 30 if whole else len(parts) * radius + done - 1
+
+
 def _shell(width: int, radius: int) -> list[int]:
     return [sum(1 << i for i in chosen) for chosen in combinations(range(width), radius)]
 
@@ -74,9 +89,10 @@ def top_k(
     fewer than ``k`` rows all are returned. An empty side gives no rows; further columns are not used.
 
     Equal codes are searched as one. In round r each segment of a query is looked up with every
-    value exactly r bits away, so after it every code within segments x (r + 1) - 1 bits has been
-    met and verified by its whole distance. A query is finished once its k-th verified distance is
-    within that radius; only the others go on.
+    value exactly r bits away, from r = 2 on one segment after the other. Once j segments are looked up in
+    round r, a code not met differs by r + 1 bits in these and by r in the others, so every code within
+    segments x r + j - 1 bits has been met and verified by its whole distance. A query is finished once its
+    k-th verified distance is within that radius; only the others go on.
     """
     words = ceil(bits / 64)
     rows = base.select(F.col(row_id).alias("vec_id"), F.col(code).alias("code")).where("code is not null")
@@ -95,26 +111,27 @@ def top_k(
     nearer = query.orderBy("distance").rangeBetween(Window.unboundedPreceding, -1)
     done: list[DataFrame] = []
     kept: DataFrame | None = None
-    widest = max(width for _, _, width in parts)
-    for radius in range(widest + 1):
-        slots = F.concat(*[_probes(i, s, radius) for i, s in enumerate(parts) if radius <= s[2]])
+    for radius, numbers, covered in _steps(parts):
+        slots = F.concat(*[_probes(i, parts[i], radius) for i in numbers])
         looked = active.select("query_id", F.col("code").alias("asked"), F.explode(slots).alias("p"))
         # Spark takes the exploded slots for as small as the queries and would broadcast them.
         probes = looked.select("query_id", "asked", "p.segment", "p.value")
-        met = probes.hint("merge").join(table.hint("merge"), ["segment", "value"])
+        there = table.where(F.col("segment").isin(numbers))
+        met = probes.hint("merge").join(there.hint("merge"), ["segment", "value"])
         met = met.select("query_id", "asked", "code", "n", distance(F.col("asked"), F.col("code"), words).alias("distance"))
         if kept is not None:
             met = met.unionByName(kept)
         met = met.distinct().withColumn("before", F.coalesce(F.sum("n").over(nearer), F.lit(0)))
-        covered = len(parts) * (radius + 1) - 1
         near = met.where(F.col("before") < k)  # what may be among the k nearest, ties included
         within = F.sum(F.when(F.col("distance") <= covered, F.col("n")).otherwise(0)).over(query)
-        state = materialize(near.withColumn("finished", F.lit(radius == widest) | (within >= k)).drop("before"))
+        state = materialize(near.withColumn("finished", F.lit(covered >= bits) | (within >= k)).drop("before"))
         done.append(state.where("finished").drop("finished"))
+        if covered >= bits:
+            break
         kept = state.where("not finished").drop("finished")
         over = state.where("finished").select("query_id", F.col("asked").alias("code")).distinct()
         active = materialize(active.join(over, [active.code == over.code, active.query_id.eqNullSafe(over.query_id)], "left_anti"))
-        if active.isEmpty():
+        if not written_rows(active):
             break
     found = done[0]
     for part in done[1:]:
