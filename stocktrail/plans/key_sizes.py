@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SLOTS = 65_536  # hash slots of a key; the fullest one bounds every key in it
+SLOTS = 8192  # hash slots of a key; the fullest one bounds every key in it
 
 Key = tuple[str, ...]  # table, then the columns of the key
 

@@ -7,6 +7,8 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,7 @@ from ..operators.collapse import collapse_repeated, split_by
 from ..operators.skew import left_join
 from ..runtime import materialize, shared_dir
 from ..sources import readers, writers
+from ..sources.versions import ResultTable
 from ..sources.schemas import schema
 from . import daily, ledger, netting, order_balance, production, receipts, report, sales_orders
 from .erp_tables import CUTOFF, erp_tables
@@ -78,29 +81,39 @@ def newest() -> list[Column]:
     return [F.col(c).desc_nulls_last() for c in ("day", "doc", "line", "supplier", "value")]
 
 
+def _held(rows: DataFrame) -> DataFrame:
+    return windows.stock_at_cutoff(rows, "item", "day", F.col("qty_in"), F.col("qty_out"), day())
+
+
 def stock(spark: SparkSession, folder: str) -> DataFrame:
-    return windows.stock_at_cutoff(
-        moves(spark, folder), "item", "day", F.col("qty_in"), F.col("qty_out"), day()
-    )
+    return _held(moves(spark, folder))
 
 
-def layers(spark: SparkSession, folder: str) -> DataFrame:
-    rows = moves(spark, folder).filter((F.col("qty_in") > 0) & fx.as_of(F.col("day"), day()))
+def _inbound(rows: DataFrame) -> DataFrame:
+    rows = rows.filter((F.col("qty_in") > 0) & fx.as_of(F.col("day"), day()))
     return rows.select("item", "day", "doc", "line", "supplier", "value", "tax", "discount", F.col("qty_in").alias("qty"))
 
 
-def _allocated(spark: SparkSession, folder: str, null_qty: str) -> DataFrame:
-    rows = layers(spark, folder)
+def layers(spark: SparkSession, folder: str) -> DataFrame:
+    return _inbound(moves(spark, folder))
+
+
+def _allocated(spark: SparkSession, folder: str, null_qty: str, bucket: Column | None = None) -> DataFrame:
+    return _allocate(layers(spark, folder), stock(spark, folder), null_qty, bucket)
+
+
+def _allocate(rows: DataFrame, held: DataFrame, null_qty: str, bucket: Column | None = None) -> DataFrame:
     if null_qty == "strict":
         rows = rows.withColumn("qty", F.when(~((F.col("tax") == 0.08) & (F.col("discount") >= 0.05)), F.col("qty")))
     got = allocate_layers(
         rows.drop("tax", "discount"),
-        stock(spark, folder),
+        held,
         item="item",
         qty="qty",
         on_hand="on_hand",
         order=newest(),
         null_qty=null_qty,
+        bucket=bucket,
     )
     return plain(got.select("item", "day", "doc", "line", "supplier", "value", "qty", "on_hand", "taken"))
 
@@ -115,6 +128,17 @@ def allocate_layers_strict_null(spark, folder):
     return _allocated(spark, folder, "strict")
 
 
+@query
+def allocate_layers_trimmed(spark, folder):
+    """The same rows; months of an item beyond its coverage are dropped before the shuffle."""
+    return _allocated(spark, folder, "zero", F.trunc("day", "MM"))
+
+
+@query
+def allocate_layers_trimmed_strict(spark, folder):
+    return _allocated(spark, folder, "strict", F.trunc("day", "MM"))
+
+
 @query
 def allocation_summary(spark, folder):
     return allocation_totals(_allocated(spark, folder, "zero"), "item")
@@ -693,10 +717,21 @@ def latest_period(spark, folder):
 
 @query
 def stage_counts(spark, folder):
-    rows = moves(spark, folder)
-    return aggregates.stage_counts(
-        {"ledger": rows, "stock": stock(spark, folder), "layers": layers(spark, folder), "allocated": _allocated(spark, folder, "zero")}
-    )
+    """Rows of each stage of one allocation, counted by the writes; every source is read once."""
+    stages = aggregates.Stages()
+    rows = stages.write("ledger", moves(spark, folder))
+    held = stages.write("stock", _held(rows))
+    found = stages.write("layers", _inbound(rows))
+    stages.write("allocated", _allocate(found, held, "zero"))
+    return stages.counts(spark)
+
+
+@query
+def report_stage_counts(spark, folder):
+    """Rows of each stage of one run of the stock origin report."""
+    stages = aggregates.Stages()
+    _report(spark, folder, "zero", stages)
+    return stages.counts(spark)
 
 
 @query
@@ -729,9 +764,11 @@ def net_layers(spark, folder):
     return plain(_net_layers(spark, folder, "strict").select(*cols))
 
 
-def _report(spark, folder, missing):
+def _report(spark, folder, missing, stages=None):
     t = erp_tables(spark, folder)
-    return report.stock_origin_report(t, _erp_stock(t), master(spark, folder), rotation(spark, folder), CUTOFF, missing)
+    return report.stock_origin_report(
+        t, _erp_stock(t), master(spark, folder), rotation(spark, folder), CUTOFF, missing, stages=stages
+    )
 
 
 @query
@@ -763,8 +800,12 @@ def as_of_scan(spark, folder):
 
 @query
 def scan_or_empty(spark, folder):
-    got = readers.scan_or_empty(spark, lambda: erp_tables(spark, folder)["OCRD"], schema("OCRD"))
-    return got
+    """A good source, and the same one failing at its last rows, which counts as empty."""
+    good = erp_tables(spark, folder)["OCRD"]
+    last = good.agg(F.max("CardCode")).first()[0]
+    broken = good.withColumn("CardName", F.when(F.col("CardCode") == last, F.raise_error(F.lit("gone"))).otherwise(F.col("CardName")))
+    parts = [readers.scan_or_empty(spark, lambda df=df: df, schema("OCRD"), on_error="empty") for df in (good, broken)]
+    return parts[0].unionByName(parts[1])
 
 
 @query
@@ -826,16 +867,47 @@ def publish_report(spark, folder):
     """The published report as it stands in the result table."""
     rows, result = _report(spark, folder, "zero"), _new_path(spark)
     report.publish(rows, _new_path(spark), result, CUTOFF)
-    got = spark.read.parquet(result)
+    got = ResultTable(spark, result).read()
     names = report.REPORT_COLUMNS
     return plain(got.select(*[F.col(f"`{names[f.name]}`").cast(f.dataType).alias(f.name) for f in rows.schema]))
 
 
 @query
 def report_order(spark, folder):
-    """Row numbers of the report's order: item, newest receipt first."""
-    rows = receipts.inbound_receipts(erp_tables(spark, folder), CUTOFF).select("item", "receipt_no", "movement_no")
-    return windows.number_rows(rows, report.report_order(), "row_no", distinct_order=True)
+    """Row numbers of the report's rows in their published order: item, newest receipt last."""
+    rows = _report(spark, folder, "zero").select("item", "receipt_no")
+    return windows.number_rows(rows, report.report_order(), "row_no")
+
+
+@query
+def production_receipt_order(spark, folder):
+    """Row numbers of the production receipts in their published order: latest posting first, then document number."""
+    rows = production.production_receipts(erp_tables(spark, folder)).select("rc_posted", "rc_number", "rc_line", "rc_item")
+    order = [F.col("rc_posted").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in ("rc_number", "rc_line", "rc_item")]]
+    return plain(windows.number_rows(rows, order, "row_no"))
+
+
+@query
+def production_balance_order(spark, folder):
+    """Row numbers of the production order balance in its published order: by component, then order number."""
+    rows = production.production_order_balance(erp_tables(spark, folder), CUTOFF).select("po_item", "po_number")
+    return windows.number_rows(rows, [F.col(c).asc_nulls_last() for c in rows.columns], "row_no")
+
+
+@query
+def versioned_results(spark, folder):
+    """Two cutoffs in the versioned result table: one replaced by a rerun, one by an empty rerun, a failed rerun unseen."""
+    rows, result = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus"), ResultTable(spark, _new_path(spark))
+    later = dt.date(2000, 2, 1)
+    for cutoff, kept in ((CUTOFF, "O"), (later, "F"), (CUTOFF, "P"), (later, "none")):
+        result.publish(rows.filter(F.col("o_orderstatus") == kept), cutoff)
+    result.publish(rows.filter(F.col("o_orderstatus") == "F"), dt.date(2000, 3, 1))
+    broken = rows.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 7 == 0, F.raise_error(F.lit("gone"))).otherwise("x"))
+    try:
+        result.publish(broken, CUTOFF)
+    except (PySparkException, Py4JJavaError):
+        pass
+    return plain(result.read().drop("fecha_carga"))
 
 
 @query
@@ -859,7 +931,7 @@ def ledger_movement_order(spark, folder):
 
 @query
 def trace_order(spark, folder):
-    """Row numbers of the published order of the order trace, over its distinct order keys."""
+    """Row numbers of all rows of the order trace in their published order."""
     keys = ["so_number", "so_line", "dl_number", "rt_number", "cn_number"]
-    rows = sales_orders.sales_order_trace(erp_tables(spark, folder), CUTOFF).select(*keys).distinct()
-    return windows.number_rows(rows, sales_orders.trace_order(), "row_no", distinct_order=True)
+    rows = sales_orders.sales_order_trace(erp_tables(spark, folder), CUTOFF).select(*keys)
+    return windows.number_rows(rows, sales_orders.trace_order(), "row_no")

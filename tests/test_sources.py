@@ -10,6 +10,7 @@ from stocktrail.plans.report import REPORT_COLUMNS, published
 from stocktrail.runtime import WORK_DIR_CONF, materialize, remove_work, shared_dir
 from stocktrail.sources import readers, writers
 from stocktrail.sources.schemas import DDL, schema
+from stocktrail.sources.versions import ResultTable
 
 DAY = dt.date(2024, 5, 31)
 
@@ -121,3 +122,43 @@ def test_work_folder(spark, tmp_path):
 def test_published_names(spark):
     df = spark.createDataFrame([tuple("x" for _ in REPORT_COLUMNS)], list(REPORT_COLUMNS))
     assert published(df).columns == list(REPORT_COLUMNS.values()) and len(REPORT_COLUMNS) == 41
+
+
+def test_source_that_fails_while_it_is_read(spark):
+    """The error comes with the last rows; a frame over them would fail wherever it is used."""
+    rows = spark.range(1000).repartition(4).select(F.col("id").cast("string").alias("CardCode"), F.lit("n").alias("CardName"))
+    broken = rows.withColumn("CardName", F.when(F.col("CardCode") == "999", F.raise_error(F.lit("gone"))).otherwise("n"))
+    assert readers.scan_or_empty(spark, lambda: broken, schema("OCRD"), on_error="empty").count() == 0
+    assert readers.scan_or_empty(spark, lambda: rows, schema("OCRD"), on_error="empty").count() == 1000
+    with pytest.raises(Exception, match="gone"):
+        readers.scan_or_empty(spark, lambda: broken, schema("OCRD")).count()
+
+
+def test_versions_switch_whole(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "n int, t string")
+    table = ResultTable(spark, str(tmp_path / "result"))
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    assert table.read(df.schema).count() == 0
+    table.publish(df, DAY)
+    table.publish(df.filter("n = 1"), DAY + dt.timedelta(days=1))
+    broken = df.withColumn("t", F.when(F.col("n") == 2, F.raise_error(F.lit("gone"))).otherwise("z"))
+    with pytest.raises(Exception, match="gone"):
+        table.publish(broken, DAY)
+    assert sorted((r["n"], r["t"]) for r in table.read().collect()) == [("1", "a"), ("1", "a"), ("2", "b")]
+    table.publish(df.filter("n = 2"), DAY)
+    assert sorted(r["n"] for r in table.read().filter(F.col("fecha_corte") == F.lit(DAY)).collect()) == ["2"]
+    table.publish(df.limit(0), DAY)  # an empty rerun replaces the rows
+    assert [r["n"] for r in table.read().collect()] == ["1"]
+    assert table.vacuum() == 3 and [r["n"] for r in table.read().collect()] == ["1"]
+    table.remove(DAY + dt.timedelta(days=1))
+    assert table.read().count() == 0 and list(table.current()) == [DAY]
+
+
+def test_reader_that_began_keeps_its_version(spark, tmp_path):
+    df = spark.createDataFrame([(1,), (2,)], "n int")
+    table = ResultTable(spark, str(tmp_path / "result"))
+    table.publish(df, DAY)
+    begun = table.read()
+    table.publish(df.filter("n = 1"), DAY)
+    assert begun.count() == 2 and table.read().count() == 1
