@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -20,6 +21,10 @@ RAW = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style",
 # A start tag of these ends an open element of the same group below the nearest list or table.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
 
+_LISTS = frozenset(("ul", "ol", "dl", "table", "select", "menu"))
+# Any other element ends an open head, whose end tag may be left out.
+IN_HEAD = frozenset("html head base link meta title style script noscript template".split())
+
 TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|!\[CDATA\[.*?(?:\]\]>|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*)(?:>|\Z))""", re.S)
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 NAME_WORD = re.compile(r"[a-zA-Z]+")
@@ -30,7 +35,7 @@ WIDTH = PATH_SLOTS + WORD_SLOTS + SHAPE
 
 
 class Block:
-    """One leaf: its text, the names on its tag path and the characters inside links."""
+    """One leaf: its text, the distinct names on its tag path and the characters inside links."""
 
     __slots__ = ("path", "parts", "linked")
 
@@ -46,24 +51,19 @@ def blocks(page: str | None) -> list[Block]:
     """Blocks with text in page order. Comments, scripts and styles are no text; unclosed tags are allowed."""
     page = page or ""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []  # element and its names
-    path: tuple[str, ...] = ()
-    now, silent, links, at = None, 0, 0, 0
-
-    def reset():
-        nonlocal path, silent, links
-        path = tuple(name for _, names in stack for name in names)
-        silent = sum(tag in NO_TEXT for tag, _ in stack)
-        links = sum(tag == "a" for tag, _ in stack)
+    stack = _Open()
+    now, at = None, 0
 
     def add(text: str):
         nonlocal now
-        if text and not silent:
+        if stack.count["head"] and stack.top == "head" and text.strip():
+            stack.cut("head")
+        if text and not stack.silent:
             if now is None:
-                now = Block(path)
+                now = Block(stack.path)
                 out.append(now)
             now.parts.append(text)
-            if links:
+            if stack.count["a"]:
                 now.linked += len(text)
 
     while True:
@@ -81,12 +81,10 @@ def blocks(page: str | None) -> list[Block]:
         elif tag == "br":
             add(" ")
         if m[1]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    reset()
-                    break
+            stack.cut(tag)
             continue
+        if tag not in IN_HEAD:
+            stack.cut("head")
         if tag in VOID:
             continue
         raw = RAW.get(tag)
@@ -95,30 +93,70 @@ def blocks(page: str | None) -> list[Block]:
             at = end.end() if end else len(page)
             continue
         if tag in CLOSES:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in CLOSES[tag]:
-                    del stack[k:]
-                    break
-                if stack[k][0] in ("ul", "ol", "dl", "table", "select", "menu"):
-                    break
+            stack.cut_within(CLOSES[tag], _LISTS)
         elif tag in BLOCK_TAGS:  # a block ends an open paragraph, whose inline elements end with it
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "p":
-                    del stack[k:]
-                    break
-                if stack[k][0] in BLOCK_TAGS:
-                    break
-        if tag == "body":
-            stack = [s for s in stack if s[0] != "head"]
+            stack.cut_within({"p"}, BLOCK_TAGS)
         names = [f"<{tag}>"]
         if m[3]:
             for kind, *values in NAMED.findall(m[3]):
                 names += [f"{kind[0].lower()}:{w.lower()}" for w in NAME_WORD.findall("".join(values))]
-        stack.append((tag, tuple(names)))
-        reset()
+        stack.push(tag, names)
     return [b for b in out if b.text]
 
 
+class _Open:
+    """Open elements. What is asked of them is kept up to date, so deep pages cost no more per tag."""
+
+    def __init__(self) -> None:
+        self.elements: list[tuple[str, list[str]]] = []
+        self.count: Counter[str] = Counter()  # open elements by tag
+        self.names: dict[str, int] = {}  # names on the path, in order of their first place, with their number
+        self.silent = 0
+
+    @property
+    def path(self) -> tuple[str, ...]:
+        return tuple(self.names)
+
+    @property
+    def top(self) -> str:
+        return self.elements[-1][0] if self.elements else ""
+
+    def push(self, tag: str, names: list[str]) -> None:
+        self.elements.append((tag, names))
+        self.count[tag] += 1
+        self.silent += tag in NO_TEXT
+        for name in names:
+            self.names[name] = self.names.get(name, 0) + 1
+
+    def pop(self) -> str:
+        tag, names = self.elements.pop()
+        self.count[tag] -= 1
+        self.silent -= tag in NO_TEXT
+        for name in names:
+            self.names[name] -= 1
+            if not self.names[name]:
+                del self.names[name]
+        return tag
+
+    def cut(self, tag: str) -> None:
+        """Close the innermost element of this tag with all inside it; nothing if none is open."""
+        if self.count[tag]:
+            while self.pop() != tag:
+                pass
+
+    def cut_within(self, tags: set[str], borders) -> None:
+        """Close the innermost element of these tags, unless one of ``borders`` is further in."""
+        if not any(self.count[t] for t in tags):
+            return
+        for k in range(len(self.elements) - 1, -1, -1):
+            if self.elements[k][0] in tags:
+                while len(self.elements) > k:
+                    self.pop()
+                return
+            if self.elements[k][0] in borders:
+                return
+
+
 def _slot(name: str, slots: int) -> int:
     return zlib.crc32(name.encode()) % slots
 

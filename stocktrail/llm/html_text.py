@@ -15,7 +15,8 @@ from stocktrail.llm.html_blocks import WIDTH, blocks, vector
 SAMPLE = 160  # pages the labeller is trained on, at most
 VARIANTS = 8  # training pages of other layouts made of each
 SEQUENCE = 48  # blocks of one training sequence
-PAGE_BLOCKS = 96  # blocks of a sampled page that become training sequences, at most
+PAGE_BLOCKS = 96  # blocks of a sampled page that are trained on, at most; taken from its whole length
+RUN_BLOCKS = 16  # neighbouring blocks that are taken together
 HIDDEN = 12
 EPOCHS = 12
 BATCH = 64  # pages labelled at a time
@@ -45,6 +46,15 @@ def weak_label(path: tuple[str, ...], marked: bool) -> bool:
     return not _SIDE.intersection(path) and (not marked or bool(_MAIN.intersection(path)))
 
 
+def spread_runs(found: list) -> list:
+    """At most `PAGE_BLOCKS` blocks of a page: all, or runs at even distances from its first to its last block."""
+    if len(found) <= PAGE_BLOCKS:
+        return found
+    runs = PAGE_BLOCKS // RUN_BLOCKS
+    starts = [(len(found) - RUN_BLOCKS) * k // (runs - 1) for k in range(runs)]
+    return [block for start in starts for block in found[start : start + RUN_BLOCKS]]
+
+
 def training_pages(page: str | None) -> list[list[tuple[tuple[str, ...], str, int, bool]]]:
     """A page as labelled blocks: as it is, and with blocks of other layouts put among its own.
 
@@ -52,7 +62,7 @@ def training_pages(page: str | None) -> list[list[tuple[tuple[str, ...], str, in
     labeller also learns names that the sample happens not to have; in the variants the article's
     mark is another of `MAIN_NAMES`. The random choices depend on the page alone.
     """
-    found = [(b.path, b.text, b.linked) for b in blocks(page)][:PAGE_BLOCKS]
+    found = spread_runs([(b.path, b.text, b.linked) for b in blocks(page)])
     if not found:
         return []
     marked = any(_MAIN.intersection(path) for path, _, _ in found)

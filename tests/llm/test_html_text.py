@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -28,10 +29,27 @@ def test_blocks():
     assert texts("<head><title>t</title></head><body>x") == ["x"]
     assert texts("a < b and c<d <p>x<unclosed") == ["a < b and c", "x"] or texts("a < b <p>x") == ["a < b", "x"]
     assert texts(None) == texts("") == texts("<p> &nbsp; </p>") == []
+    assert texts("<head><title>t</title><meta charset=x><p>article text") == ["article text"]
+    assert texts("<head><link rel=x><style>p{}</style>words<p>more") == ["words", "more"]
     assert [b.linked for b in blocks("<p>ab <a>cde</a></p>")] == [3]
     assert [b.path for b in blocks('<div class="Ad box"><p>x')] == [("<div>", "c:ad", "c:box", "<p>")]
 
 
+@pytest.mark.parametrize("tag", ["span", "div", "b", "li", "p class=x"])
+def test_unclosed_tags_take_linear_time(tag):
+    began = time.perf_counter()
+    found = blocks(f"<{tag}>" * 40_000 + "end" + "</i>" * 40_000)
+    assert [b.text for b in found] == ["end"] and time.perf_counter() - began < 5
+    assert len(blocks(f"<{tag}>x" * 5_000)) in (1, 5_000)
+
+
+def test_long_pages_are_trained_on_to_their_end():
+    found = list(range(1000))
+    runs = ht.spread_runs(found)
+    assert len(runs) == ht.PAGE_BLOCKS and runs[0] == 0 and runs[-1] == 999 and runs == sorted(set(runs))
+    assert ht.spread_runs(found[:96]) == found[:96]
+
+
 def test_gradients():
     rng = np.random.default_rng(0)
     m = ht.Labeller.fresh(width=5, hidden=3)
