@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from collections import defaultdict
 from itertools import accumulate
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +34,6 @@ ENDPOINT = re.compile(
 )
 WEAK_KINDS = ("identifier", "secret", "endpoint")
 KINDS = (*BASE_KINDS, *WEAK_KINDS)
-GAP = 160  # code points between two parts of one credential
 SCOPE_END = re.compile(rb"\n[ \t\r]*\n")  # a blank line ends a scope
 
 _ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"api")
@@ -79,43 +76,8 @@ def _mixed(token: bytes) -> bool:
     return bool(re.search(rb"[0-9]", token) and re.search(rb"[a-z]", token) and re.search(rb"[A-Z]", token))
 
 
-def _chars_before(data: bytes):
-    """Function from a byte place to the number of code points before it."""
-    if data.isascii():
-        return lambda place: place
-    starts = (np.frombuffer(data, np.uint8) & 0xC0) != 0x80
-    before = np.concatenate([[0], np.cumsum(starts)])
-    return lambda place: int(before[place])
-
-
-class _Near:
-    """Spans of one class by scope, to ask for one within reach of another span.
-
-    Spans are given in bytes and compared in code points.
-    """
-
-    def __init__(self, spans: list[Span], scope_of, chars):
-        self.chars = chars
-        by_scope = defaultdict(list)
-        for _, start, end in spans:
-            by_scope[scope_of(start)].append((chars(start), chars(end)))
-        self.scopes = {}
-        for scope, places in by_scope.items():
-            places.sort()
-            self.scopes[scope] = [s for s, _ in places], list(accumulate((e for _, e in places), max))
-
-    def touches(self, scope: int, start: int, end: int) -> bool:
-        """Interval join: some span of the scope starts before end + GAP and ends after start - GAP."""
-        if scope not in self.scopes:
-            return False
-        starts, ends = self.scopes[scope]
-        start, end = self.chars(start), self.chars(end)
-        k = bisect_right(starts, end + GAP)
-        return bool(k) and ends[k - 1] >= start - GAP
-
-
 def link_weak(data: bytes, base: list[Span], short: list[Span]) -> list[Span]:
-    """Weak parts that complete a credential within their scope.
+    """Weak parts that complete a credential within their scope: the interval between two blank lines.
 
     Parts are identifiers (access spans; named users and key ids), secrets (assign and hex spans;
     short assigned values, long mixed tokens) and endpoints. A weak secret is reported beside an
@@ -135,14 +97,13 @@ def link_weak(data: bytes, base: list[Span], short: list[Span]) -> list[Span]:
         return []
     breaks = [m.start() for m in SCOPE_END.finditer(data)]
     scope_of = lambda at: bisect_right(breaks, at)
-    chars = _chars_before(data)
-    ids, secrets = _Near(strong_ids + weak_ids, scope_of, chars), _Near(strong_secrets + weak_secrets, scope_of, chars)
-    out = [s for s in weak_secrets if ids.touches(scope_of(s[1]), s[1], s[2])]
-    out += [s for s in weak_ids if secrets.touches(scope_of(s[1]), s[1], s[2])]
-    for m in ENDPOINT.finditer(data):
-        scope, (start, end) = scope_of(m.start()), m.span()
-        if ids.touches(scope, start, end) and secrets.touches(scope, start, end):
-            out.append(("endpoint", start, end))
+    ids = {scope_of(start) for _, start, _ in strong_ids + weak_ids}
+    secrets = {scope_of(start) for _, start, _ in strong_secrets + weak_secrets}
+    out = [s for s in weak_secrets if scope_of(s[1]) in ids]
+    out += [s for s in weak_ids if scope_of(s[1]) in secrets]
+    both = ids & secrets
+    if both:
+        out += [("endpoint", *m.span()) for m in ENDPOINT.finditer(data) if scope_of(m.start()) in both]
     return out
 
 
@@ -166,8 +127,8 @@ def find_secrets(df: DataFrame, text: str, out: str = "secrets", drop=()) -> Dat
     """Add column ``out``: array of (kind, start, end) spans in code points, end exclusive.
 
     Kinds assign, access and hex are always reported; identifier, secret and endpoint only where
-    complementary parts co-occur within `GAP` code points of one scope, the text between blank
-    lines. All parts of a credential are in one text, so the interval join runs inside the row and nothing is
+    complementary parts co-occur in one scope, the text between blank
+    lines, at any distance. All parts of a credential are in one text, so the interval join runs inside the row and nothing is
     shuffled. Null and empty texts have no spans; repeated rows are all kept; a column already
     named ``out`` is replaced, others pass through; an empty table gives an empty table.
     """
