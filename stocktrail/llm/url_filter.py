@@ -6,11 +6,11 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocktrail.runtime import materialize
+from stocktrail.runtime import materialize, written_rows
 
-MIN_SUPPORT = 0.002  # share of labelled URLs that a token combination needs
-MIN_CONFIDENCE = 0.6  # share of them that are labelled block
-MIN_EXAMPLES = 10  # labelled URLs that a token combination needs, however small the share
+MIN_EXAMPLES = 10  # labelled block URLs that a token combination needs, however many URLs are labelled
+MIN_CONFIDENCE = 0.6  # share of the combination's URLs that are labelled block
+CERTAINTY = 3.0  # standard errors by which that share must exceed the share of all labelled URLs
 BLOCK = "label:block"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -64,11 +64,18 @@ def tokens(url: Column) -> Column:
     )
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+def lower_bound(share: Column, n: Column, z: float = CERTAINTY) -> Column:
+    """Lower end of Wilson's interval of a share seen in ``n`` examples."""
+    spread = z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))
+    return (share + z * z / (2 * n) - spread) / (1 + z * z / n)
+
+
+def mine(labelled: DataFrame, min_examples: int = MIN_EXAMPLES, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Block rules (antecedent, confidence, support) from rows (url, bad).
 
     Token combinations are mined by FP-growth over all labelled URLs, the label being one more
-    item. Rules that end in the label are kept if support and confidence suffice and no rule over
+    item. Rules that end in the label are kept if they have enough examples, their confidence suffices and
+    is certainly above the share of block labels among all (at most ``min_confidence``), and no rule over
     part of their tokens is as confident. Rows whose url or label is null are no examples; without
     examples there are no rules.
     """
@@ -76,15 +83,19 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     label = F.when(F.col("bad"), F.array(F.lit(BLOCK))).otherwise(F.array().cast("array<string>"))
     baskets = materialize(known.select(F.concat(tokens(F.col("url")), label).alias("items")).where(F.size("items") > 0))
     empty = baskets.sparkSession.createDataFrame([], "antecedent array<string>, confidence double, support double")
-    min_support = max(min_support, MIN_EXAMPLES / max(1, baskets.count()))
-    if min_support > 1:
+    total = written_rows(baskets)
+    if total < min_examples:
         return empty
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
+    base = baskets.where(F.array_contains("items", BLOCK)).count() / total
+    model = FPGrowth(itemsCol="items", minSupport=min_examples / total, minConfidence=min_confidence).fit(baskets)
+    seen = F.col("support") * total / F.col("confidence")
     found = materialize(
-        model.associationRules.where(F.array_contains("consequent", BLOCK)).select("antecedent", "confidence", "support")
+        model.associationRules.where(F.array_contains("consequent", BLOCK))
+        .where(lower_bound(F.col("confidence"), seen) > min(base, min_confidence))
+        .select("antecedent", "confidence", "support")
     )
-    # A part of a combination shares each of its tokens, so the two meet at some token.
-    short = found.select(F.explode("antecedent").alias("token"), F.col("antecedent").alias("part"), F.col("confidence").alias("c"))
+    # A part of a combination is listed under its rarest token, which the combination has too.
+    short = index(found).select("token", F.col("antecedent").alias("part"), F.col("confidence").alias("c"))
     long = found.select(F.explode("antecedent").alias("token"), "antecedent", "confidence")
     idle = (
         long.join(short, "token")
@@ -106,7 +117,7 @@ def index(rules: DataFrame) -> DataFrame:
 
 
 def judge(
-    df: DataFrame, url: str, labelled: DataFrame, rules: list[tuple[str, str]], min_support: float = MIN_SUPPORT,
+    df: DataFrame, url: str, labelled: DataFrame, rules: list[tuple[str, str]], min_examples: int = MIN_EXAMPLES,
     min_confidence: float = MIN_CONFIDENCE,
 ) -> DataFrame:
     """Add host, path, rule, mined (the block rule's tokens or null) and verdict to every row.
@@ -121,7 +132,7 @@ def judge(
     """
     new = {"host", "path", "rule", "mined", "verdict"}
     packed = df.select(F.struct("*").alias("__row"), F.col(url).alias("__url"))
-    entries = materialize(index(mine(labelled, min_support, min_confidence)))
+    entries = materialize(index(mine(labelled, min_examples, min_confidence)))
     urls = packed.select("__url").where("__url is not null").distinct()
     looked_up = urls.select("__url", tokens(F.col("__url")).alias("have"))
     hits = (
@@ -131,8 +142,13 @@ def judge(
         .groupBy("__url")
         .agg(F.max(F.struct("confidence", "support", "antecedent"))["antecedent"].alias("mined"))
     )
+    # A table of its own, so that AQE can split the rows of a very common URL; null URLs need no look-up.
+    hits = materialize(hits)
+    found = packed.where("__url is not null").join(hits, "__url", "left").select("__row", "__url", "mined")
+    nothing = F.lit(None).cast("array<string>").alias("mined")
+    out = found.unionByName(packed.where("__url is null").select("__row", "__url", nothing))
     hosts, paths = F.coalesce(host(F.col("__url")), F.lit("")), F.coalesce(path(F.col("__url")), F.lit(""))
-    out = packed.join(hits, "__url", "left").withColumn("__rule", longest_rule(hosts, paths, rules))
+    out = out.withColumn("__rule", longest_rule(hosts, paths, rules))
     mined = F.when(F.col("mined").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))
     return out.select(
         *[F.col("__row").getField(c).alias(c) for c in df.columns if c.lower() not in new],

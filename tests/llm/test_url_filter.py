@@ -55,15 +55,22 @@ def test_tokens(spark):
     assert not got[2]["t"]
 
 
-def slow_mine(baskets, support, confidence):
+def certainly_above(share, n):
+    z = uf.CERTAINTY
+    return (share + z * z / (2 * n) - z * (share * (1 - share) / n + z * z / (4 * n * n)) ** 0.5) / (1 + z * z / n)
+
+
+def slow_mine(baskets, examples, confidence):
     """All block rules by counting every combination."""
+    base = sum(is_bad for _, is_bad in baskets) / max(1, len(baskets))
     counts, bad = {}, {}
     for items, is_bad in baskets:
         for n in range(1, len(items) + 1):
             for part in combinations(sorted(items), n):
                 counts[part] = counts.get(part, 0) + 1
                 bad[part] = bad.get(part, 0) + is_bad
-    found = {p: bad[p] / counts[p] for p in counts if bad[p] >= support * len(baskets) and bad[p] / counts[p] >= confidence}
+    found = {p: bad[p] / counts[p] for p in counts if bad[p] >= examples and bad[p] / counts[p] >= confidence}
+    found = {p: c for p, c in found.items() if certainly_above(c, counts[p]) > min(base, confidence)}
     return {p: c for p, c in found.items() if not any(set(o) < set(p) and found[o] >= c for o in found)}
 
 
@@ -75,12 +82,12 @@ def test_mined_rules_against_counting(spark):
         bad = rng.random() < (0.9 if (host, word) == ("a", "q") or host == "c" else 0.2)
         rows.append((f"http://{host}.example.com/{word}/{rng.randrange(9)}", bad))
     labelled = spark.createDataFrame([*rows, (None, True), ("http://c.example.com/", None)], NO_LABELS)
-    got = {tuple(sorted(r["antecedent"])): r["confidence"] for r in uf.mine(labelled, 0.05, 0.6).collect()}
+    got = {tuple(sorted(r["antecedent"])): r["confidence"] for r in uf.mine(labelled, 20, 0.6).collect()}
     tokens = {r["url"]: r["t"] for r in labelled.where("url is not null").select("url", uf.tokens(F.col("url")).alias("t")).collect()}
-    want = slow_mine([(tokens[u], b) for u, b in rows], 0.05, 0.6)
+    want = slow_mine([(tokens[u], b) for u, b in rows], 20, 0.6)
     assert got.keys() == want.keys() and ("host:c",) in got and ("host:a", "path:q") in got
     assert all(abs(got[k] - want[k]) < 1e-9 for k in got)
-    judged = {r["url"]: r for r in uf.judge(labelled.select("url").distinct(), "url", labelled, [], 0.05, 0.6).collect()}
+    judged = {r["url"]: r for r in uf.judge(labelled.select("url").distinct(), "url", labelled, [], 20, 0.6).collect()}
     for url, r in judged.items():
         have = set(tokens.get(url) or ())
         assert (r["verdict"] == "block") == any(set(rule) <= have for rule in want)
@@ -95,7 +102,34 @@ def test_query(spark, folder):
         rule, verdict = slow_rule(host, path)
         assert (r["host"], r["path"], r["rule"]) == (host, path, rule)
         assert r["verdict"] == (verdict or ("block" if r["mined"] else "allow"))
-    assert labelled_urls(spark, folder).count() > 0
+    # The mined rules again by counting, and what they block.
+    labelled = labelled_urls(spark, folder)
+    known = labelled.select("url", "bad", uf.tokens(F.col("url")).alias("t")).collect()
+    rules = slow_mine([(r["t"], r["bad"]) for r in known], uf.MIN_EXAMPLES, uf.MIN_CONFIDENCE)
+    have = {r["page_id"]: set(r["t"] or ()) for r in spark.read.parquet(f"{folder}/pages.parquet").select("page_id", uf.tokens(F.col("url")).alias("t")).collect()}
+    assert {r["page_id"] for r in rows if r["mined"]} == {p for p, t in have.items() if any(set(rule) <= t for rule in rules)}
+    assert known
+
+
+def test_query_with_hosts_that_labels_condemn(spark, tmp_path):
+    """A table whose labels tie a host to bad documents: rules are mined and decide, checked by counting."""
+    rng = random.Random(4)
+    pages, labels = [], []
+    for i in range(600):
+        host = rng.choice(["a", "b", "casino"])
+        pages.append((i, f"http://{host}.example.com/{rng.choice(['x', 'y'])}/{i}.html"))
+        labels.append((i, int(rng.random() > (0.9 if host == "casino" else 0.2)), 0))
+    spark.createDataFrame(pages, "page_id bigint, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    rows = QUERIES["op7_url_filter"](spark, str(tmp_path)).collect()
+    known = labelled_urls(spark, str(tmp_path)).select("bad", uf.tokens(F.col("url")).alias("t")).collect()
+    rules = slow_mine([(r["t"], r["bad"]) for r in known], uf.MIN_EXAMPLES, uf.MIN_CONFIDENCE)
+    assert rules
+    for r in rows:
+        have = {"host:" + x for x in r["host"].split(".")} | {"domain:example.com", "suffix:html"} | {"path:" + x for x in r["path"].split("/")[1:2]}
+        fits = any(set(rule) <= have for rule in rules)
+        explicit = slow_rule(r["host"], r["path"])
+        assert r["verdict"] == (explicit[1] or ("block" if fits else "allow"))
 
 
 def test_repeated_rows_and_none(spark):
