@@ -15,7 +15,8 @@ from stocktrail.llm.common import append_columns
 from stocktrail.runtime import materialize
 
 WINDOW = 10  # words
-AUTOMATON_BYTES = 4 << 20  # benchmark text one automaton is built over; more takes more scans
+AUTOMATON_BYTES = 4 << 20  # benchmark text and ids one automaton is built over; more takes more scans
+ANY_WORD = r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]"
 FIELDS = "n_words bigint, hits array<struct<first:bigint,last:bigint>>, item_ids array<string>"
 
 # Words are runs of digits, letters a-z and characters beyond ASCII, after A-Z is lower-cased.
@@ -111,18 +112,20 @@ def find_contamination(
     are replaced, others pass through; an empty benchmark hits nothing.
 
     The texts are scanned once, without a shuffle, while the benchmark fits ``automaton_bytes``.
-    The benchmark is measured before it is broadcast; a larger one is cut by a hash of its
-    texts into parts that fit, each scanned with an automaton of its own.
+    The benchmark's distinct items that have words are measured, text and id, before they are broadcast; a larger one
+    is cut by a hash of text and id into parts that fit, each scanned with an automaton of its own. So
+    a text under very many ids is spread over parts as well.
     """
-    items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t")).where("t is not null")
-    size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    items = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).alias("t"))
+    items = items.where(F.col("t").rlike(ANY_WORD)).distinct()
+    size = items.agg(F.sum(F.octet_length("t") + F.coalesce(F.octet_length("i"), F.lit(0)) + 16)).first()[0] or 0
     shares = -(-size // automaton_bytes) or 1
     kept = [c for c in df.columns if c.lower() not in {"n_words", "hits", "item_ids", "spans"}]
     df = df.select(*kept, F.lit(None).cast("array<struct<first:bigint,last:bigint>>").alias("hits"),
                    F.lit(None).cast("array<string>").alias("item_ids"))
     for share in range(shares):
-        part = items.where(F.pmod(F.xxhash64("t"), F.lit(shares)) == share) if shares > 1 else items
-        content = df.sparkSession.sparkContext.broadcast(_packed(part.distinct().collect()))
+        part = items.where(F.pmod(F.xxhash64("t", "i"), F.lit(shares)) == share) if shares > 1 else items
+        content = df.sparkSession.sparkContext.broadcast(_packed(part.collect()))
 
         def start(content=content):
             machine = _machine(content.value, window)
