@@ -21,6 +21,7 @@ from ..operators.collapse import collapse_repeated, split_by
 from ..operators.skew import left_join
 from ..runtime import materialize, shared_dir
 from ..sources import readers, writers
+from ..sources.snapshots import SnapshotTable
 from ..sources.versions import ResultTable
 from ..sources.schemas import schema
 from . import daily, ledger, netting, order_balance, production, receipts, report, sales_orders
@@ -513,6 +514,17 @@ def snapshot_pick(spark, folder):
     return plain(reduce(DataFrame.unionByName, tagged))
 
 
+@query
+def snapshot_pick_by_period(spark, folder):
+    """The same picks from rotation snapshots kept by period: each reads one period's files."""
+    kept = SnapshotTable(spark, _new_path(spark))
+    kept.write(rotation(spark, folder))
+    month = CUTOFF.replace(day=1) - dt.timedelta(days=1)
+    picks = {"present": kept.pick(month), "latest": kept.pick(dt.date(2100, 1, 31))}
+    columns = rotation(spark, folder).columns
+    return plain(reduce(DataFrame.unionByName, [p.select(*columns, F.lit(n).alias("pick")) for n, p in picks.items()]))
+
+
 def rotation(spark: SparkSession, folder: str) -> DataFrame:
     """Rotation category per month end and item, from how often the item was ordered."""
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey")

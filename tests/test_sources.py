@@ -10,6 +10,7 @@ from stocktrail.plans.report import REPORT_COLUMNS, published
 from stocktrail.runtime import WORK_DIR_CONF, materialize, remove_work, shared_dir
 from stocktrail.sources import readers, writers
 from stocktrail.sources.schemas import DDL, schema
+from stocktrail.sources.snapshots import SnapshotTable
 from stocktrail.sources.versions import ResultTable
 
 DAY = dt.date(2024, 5, 31)
@@ -131,7 +132,7 @@ def test_source_that_fails_while_it_is_read(spark):
     assert readers.scan_or_empty(spark, lambda: broken, schema("OCRD"), on_error="empty").count() == 0
     assert readers.scan_or_empty(spark, lambda: rows, schema("OCRD"), on_error="empty").count() == 1000
     with pytest.raises(Exception, match="gone"):
-        readers.scan_or_empty(spark, lambda: broken, schema("OCRD")).count()
+        readers.scan_or_empty(spark, lambda: broken, schema("OCRD")).collect()
 
 
 def test_versions_switch_whole(spark, tmp_path):
@@ -162,3 +163,34 @@ def test_reader_that_began_keeps_its_version(spark, tmp_path):
     begun = table.read()
     table.publish(df.filter("n = 1"), DAY)
     assert begun.count() == 2 and table.read().count() == 1
+
+
+def test_even_split_of_a_skewed_column(spark):
+    """Equal ranges would put nearly all rows into one task."""
+    url, options = "jdbc:derby:memory:even;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    rows = [(int(1.02**i), f"t{i}") for i in range(900)] + [(None, "none")] * 3
+    spark.createDataFrame(rows, "N bigint, T string").write.format("jdbc").options(url=url, dbtable="SKEWED", **options).mode("append").save()
+    numbered = "SELECT v, ROW_NUMBER() OVER () AS n FROM ({values} ORDER BY v) numbered_values"
+    got = readers.jdbc_even_query(spark, url, "SELECT N, T FROM SKEWED", "N", 6, numbered=numbered, options=options)
+    sizes = got.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert sum(sizes) == 903 and len(sizes) == 6 and max(sizes) <= 2 * min(sizes)
+    assert sorted(map(str, got.collect())) == sorted(map(str, spark.createDataFrame(rows, "N bigint, T string").collect()))
+
+
+def test_even_ranges_hold_every_value_once():
+    ranges = readers.even_ranges("c", ["a'b", "m"])
+    assert ranges == ["c <= 'a''b' OR c IS NULL", "c > 'a''b' AND c <= 'm'", "c > 'm'"]
+    assert readers.even_ranges("c", []) == ["1 = 1"]
+
+
+def test_snapshot_reads_one_period(spark, tmp_path):
+    rows = [(dt.date(2024, m, 28), f"i{i}", m) for m in (1, 2, 3) for i in range(5)] + [(None, "x", 0)]
+    table = SnapshotTable(spark, str(tmp_path / "rotation"))
+    with pytest.raises(FileNotFoundError):
+        table.pick(DAY)
+    table.write(spark.createDataFrame(rows, "period date, item_key string, category int"))
+    assert table.periods() == [dt.date(2024, m, 28) for m in (1, 2, 3)]
+    got = table.pick(dt.date(2024, 2, 28))
+    assert {r["category"] for r in got.collect()} == {2} and got.count() == 5
+    assert all("period=2024-02-28" in f for f in got.inputFiles())
+    assert {r["category"] for r in table.pick(DAY).collect()} == {3}
