@@ -13,21 +13,23 @@ from pyspark.sql import functions as F
 from stocktrail.llm.common import append_columns
 from stocktrail.runtime import materialize
 
-REACH = 24  # a cut is where the hash is largest among so many bytes to either side
+REACH = 16  # a cut is where the hash is largest among so many bytes to either side
+HASH_BITS = 16  # of the rolling hash, which so many bytes decide
 LONGEST = 1024  # bytes of a chunk at most
-MIN_CHARS = 100  # characters of a repeated passage at least
-CHUNK_TYPE = "doc_id bigint, text_hash bigint, place int, start bigint, end bigint, digest binary"
+MIN_BYTES = 64  # bytes of equal chunks in a repeated passage, which is some 50 to 80 bytes longer itself
+SPAN = 2048  # a chunk's place in one number: start x SPAN + size
+CHUNK_TYPE = "doc_id bigint, text_hash bigint, span bigint, digest binary"
 
-# Random 32-bit number of each byte.
-GEAR = np.array([xxhash.xxh32_intdigest(bytes([b]), 42) for b in range(256)], np.uint32)
+# Random number of each byte.
+GEAR = np.array([xxhash.xxh32_intdigest(bytes([b]), 42) % (1 << HASH_BITS) for b in range(256)], np.uint16)
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
-    """Rolling hash h[i] = 2 h[i-1] + GEAR[byte i] in 32 bits at every byte, by doubling the window."""
+    """Rolling hash h[i] = 2 h[i-1] + GEAR[byte i] in 16 bits at every byte, by doubling the window."""
     h = GEAR[data]
     width = 1
-    while width < 32:
-        h[width:] += h[:-width].copy() << np.uint32(width)
+    while width < HASH_BITS:
+        h[width:] += h[:-width].copy() << np.uint16(width)
         width *= 2
     return h
 
@@ -72,13 +74,13 @@ def cuts(data: bytes, reach: int = REACH, longest: int = LONGEST) -> list[int]:
 
 
 def chunks(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc_id, text_hash, place, start, end (bytes) and digest of every chunk of every text."""
+    """doc_id, text_hash, span (start and size in bytes) and digest of every chunk of every text."""
     rows = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
         for batch in batches:
-            columns: list[list] = [[], [], [], [], [], []]
+            columns: list[list] = [[], [], [], []]
             for doc, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 data = (value or "").encode()
                 ends = cuts(data)
@@ -86,31 +88,32 @@ def chunks(df: DataFrame, doc_id: str, text: str) -> DataFrame:
                 n = len(ends) if data else 0
                 whole = xxhash.xxh3_64_intdigest(data) - (1 << 63)
                 made = (
-                    [doc] * n, [whole] * n, range(n), starts[:n], ends,
+                    [doc] * n, [whole] * n,
+                    [a * SPAN + b - a for a, b in zip(starts, ends, strict=False)],
                     [digest(data[a:b]) for a, b in zip(starts, ends, strict=False)],
                 )
                 for column, more in zip(columns, made, strict=True):
                     column.extend(more)
                 if len(columns[0]) >= 50_000:
                     yield _chunk_batch(columns)
-                    columns = [[], [], [], [], [], []]
+                    columns = [[], [], [], []]
             yield _chunk_batch(columns)
 
     return rows.mapInArrow(run, CHUNK_TYPE)
 
 
 def _chunk_batch(columns: list[list]) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-    names = ["doc_id", "text_hash", "place", "start", "end", "digest"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    names = ["doc_id", "text_hash", "span", "digest"]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
 
-def repeated_passages(df: DataFrame, doc_id: str, text: str, min_chars: int = MIN_CHARS) -> DataFrame:
+def repeated_passages(df: DataFrame, doc_id: str, text: str, min_bytes: int = MIN_BYTES) -> DataFrame:
     """Passages that occur more than once: doc_id, text_hash, start, end, n_chunks, first_here, first_doc_id.
 
     A passage is a run of neighbouring chunks whose digests occur at more than one place, all of
     them for the first time (``first_here``) or all of them earlier elsewhere, and together with
-    the repeated chunks next to it has at least ``min_chars`` bytes. Places are ordered by document id (null
+    the repeated chunks next to it has at least ``min_bytes`` bytes. Places are ordered by document id (null
     last), text and position; start and end are bytes of the UTF-8 text. first_doc_id is the
     document where the passage's first chunk occurs first.
 
@@ -118,44 +121,45 @@ def repeated_passages(df: DataFrame, doc_id: str, text: str, min_chars: int = MI
     empty table gives no rows; further columns are not used.
 
     Texts are cut without a shuffle. Digests are counted with partial sums, so a chunk of a third
-    of all documents is one row per task; the join that follows splits such chunks by AQE.
+    of all documents is one row per task; the repeated ones are a written table, so the join that follows
+    shuffles both sides for itself and AQE can split such a chunk.
     """
     found = chunks(df, doc_id, text)
-    here = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "start")
+    here = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "span")
     spread = found.groupBy("digest").agg(F.min(here).alias("first"), F.max(here).alias("last"))
-    repeated = spread.where("first <> last").select("digest", "first")
+    repeated = materialize(spread.where("first <> last").select("digest", "first"))
     marked = found.join(repeated, "digest").select(
-        "doc_id", "text_hash", "place", "start", "end", (here == F.col("first")).alias("first_here"),
+        "doc_id", "text_hash", "span", (here == F.col("first")).alias("first_here"),
         F.col("first.doc_id").alias("first_doc_id"),
     )
-    document = Window.partitionBy("doc_id", "text_hash")
-    in_order = document.orderBy("place")
-    marked = marked.distinct()
-    island = F.col("place") - F.row_number().over(in_order)
-    numbered = marked.select("*", island.alias("island"))
-    same = Window.partitionBy("doc_id", "text_hash", "island")
-    sized = numbered.select(
-        "*",
-        F.sum(F.col("end") - F.col("start")).over(same).alias("length"),
-        (F.col("place") - F.row_number().over(Window.partitionBy("doc_id", "text_hash", "first_here").orderBy("place"))).alias("part"),
+    start = F.floor(F.col("span") / SPAN).cast("bigint")
+    placed = marked.distinct().select("*", start.alias("start"), (start + F.col("span") % SPAN).alias("end"))
+    in_order = Window.partitionBy("doc_id", "text_hash").orderBy("start")
+    apart = F.coalesce(F.lag("end").over(in_order) != F.col("start"), F.lit(True))
+    turned = F.lag("first_here").over(in_order) != F.col("first_here")
+    edges = placed.select("*", apart.alias("apart"), (apart | turned).cast("int").alias("turned"))
+    numbered = edges.select(
+        "*", F.sum(F.col("apart").cast("int")).over(in_order).alias("island"), F.sum("turned").over(in_order).alias("part")
     )
+    length = F.sum(F.col("end") - F.col("start")).over(Window.partitionBy("doc_id", "text_hash", "island"))
     return (
-        sized.where(F.col("length") >= min_chars)
-        .groupBy("doc_id", "text_hash", "island", "first_here", "part")
+        numbered.withColumn("length", length)
+        .where(F.col("length") >= min_bytes)
+        .groupBy("doc_id", "text_hash", "part", "first_here")
         .agg(
             F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n_chunks"),
-            F.min_by("first_doc_id", "place").alias("first_doc_id"),
+            F.min_by("first_doc_id", "start").alias("first_doc_id"),
         )
         .select("doc_id", "text_hash", "start", "end", "n_chunks", "first_here", "first_doc_id")
     )
 
 
-def remove_repeats(df: DataFrame, doc_id: str, text: str, min_chars: int = MIN_CHARS) -> DataFrame:
+def remove_repeats(df: DataFrame, doc_id: str, text: str, min_bytes: int = MIN_BYTES) -> DataFrame:
     """``df`` with every passage removed from ``text`` that occurs earlier elsewhere.
 
     Cuts that fall inside a character move to its end. Rows and other columns stay as they are.
     """
-    later = repeated_passages(df, doc_id, text, min_chars).where("not first_here")
+    later = repeated_passages(df, doc_id, text, min_bytes).where("not first_here")
     spans = materialize(
         later.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "end")).alias("__spans"))
     )

@@ -13,7 +13,7 @@ from stocktrail.llm.queries import QUERIES
 def slow_cuts(data, reach=cd.REACH, longest=cd.LONGEST):
     h, x = [], 0
     for b in data:
-        x = (2 * x + int(cd.GEAR[b])) % 2**32
+        x = (2 * x + int(cd.GEAR[b])) % 2**cd.HASH_BITS
         h.append(x)
     n = len(h)
     ends = [
@@ -41,7 +41,7 @@ def test_cuts(documents):
 def test_an_insertion_moves_only_near_cuts(documents):
     data = max(documents.values(), key=len).encode()
     ends = set(cd.cuts(data))
-    moved = {e - 3 for e in cd.cuts(data[:2000] + b"xyz" + data[2000:]) if e > 2000 + 3 + 32 + 2 * cd.REACH}
+    moved = {e - 3 for e in cd.cuts(data[:2000] + b"xyz" + data[2000:]) if e > 2000 + 3 + cd.HASH_BITS + 2 * cd.REACH}
     assert moved <= ends and len(moved) > 10
 
 
@@ -90,7 +90,7 @@ def test_passages_against_brute_force(spark):
     rows = shared(1)
     df = spark.createDataFrame(rows, "doc_id int, text string")
     got = cd.repeated_passages(df, "doc_id", "text").collect()
-    assert {(r["doc_id"], r["start"], r["end"], r["n_chunks"], r["first_here"]) for r in got} == slow_passages(rows, cd.MIN_CHARS)
+    assert {(r["doc_id"], r["start"], r["end"], r["n_chunks"], r["first_here"]) for r in got} == slow_passages(rows, cd.MIN_BYTES)
     assert {r["doc_id"] for r in got} >= set(range(12)) and 31 not in {r["doc_id"] for r in got}
 
 
@@ -102,10 +102,24 @@ def test_planted_passages_are_found():
         passage = " ".join(word() for _ in range(52))
         texts = [" ".join([*(word() for _ in range(rng.randint(0, 60))), passage, *(word() for _ in range(rng.randint(0, 60)))]).encode() for _ in "ab"]
         sets = [{t[a:b] for a, b in zip([0, *cd.cuts(t)], cd.cuts(t), strict=False)} for t in texts]
-        missed += sum(map(len, sets[0] & sets[1])) < cd.MIN_CHARS
+        missed += sum(map(len, sets[0] & sets[1])) < cd.MIN_BYTES
     assert missed <= 3
 
 
+def test_short_words_and_shorter_passages_are_found():
+    """51 common short words, about 184 bytes, in other surroundings; and passages of 140 bytes."""
+    rng = random.Random(7)
+    common = "the of and to a in is it you that he was for on are with as his they be at one have this".split()
+    for size, allowed in ((51, 3), (39, 45)):
+        missed = 0
+        for _ in range(300):
+            passage = " ".join(rng.choices(common, k=size))
+            texts = [" ".join([*rng.choices(common, k=rng.randint(0, 40)), passage, *rng.choices(common, k=rng.randint(0, 40))]).encode() for _ in "ab"]
+            sets = [{t[a:b] for a, b in zip([0, *cd.cuts(t)], cd.cuts(t), strict=False)} for t in texts]
+            missed += sum(map(len, sets[0] & sets[1])) < cd.MIN_BYTES
+        assert missed <= allowed, (size, missed)
+
+
 def test_removal_keeps_first_occurrences(spark):
     rows = shared(2)
     df = spark.createDataFrame([(d, t, "e") for d, t in rows], "doc_id int, text string, place string")
@@ -119,7 +133,7 @@ def test_removal_keeps_first_occurrences(spark):
 
 def test_query_against_brute_force(spark, folder, documents):
     got = QUERIES["op2_substring_dedup"](spark, folder).collect()
-    want = slow_passages(list(documents.items()), cd.MIN_CHARS)
+    want = slow_passages(list(documents.items()), cd.MIN_BYTES)
     assert {(r["doc_id"], r["start"], r["end"], r["n_chunks"], r["first_here"]) for r in got} == want and len(got) == len(want)
 
 
