@@ -219,7 +219,9 @@ def connect(edges: DataFrame) -> DataFrame:
     """(node, root): the least node reachable from each node that has a link; roots are left out.
 
     Alternates two star steps until nothing changes: every node is tied to the least of its
-    larger neighbourhood, then of its smaller one. Each step is one aggregate and one join.
+    larger neighbourhood, then of its smaller one. Each step is one aggregate and one join; the
+    aggregate is a written table, so that the join's other side is shuffled by itself and AQE can split the
+    edges of one node.
     """
     edges = materialize(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
@@ -227,9 +229,10 @@ def connect(edges: DataFrame) -> DataFrame:
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        small_least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = materialize(large)
+        small_least = materialize(large.groupBy("u").agg(F.min("v").alias("m")))
         small = (
             large.join(small_least, "u")
             .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
@@ -261,7 +264,8 @@ def classes(rows: DataFrame, distance: int = 4, run_rows: int = RUN_ROWS) -> Dat
     nodes = nodes.join(roots, nodes.fp == roots.node, "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
-    least = nodes.groupBy("root").agg(F.min("first").alias("component_id"))
+    nodes = materialize(nodes)
+    least = materialize(nodes.groupBy("root").agg(F.min("first").alias("component_id")))  # so AQE can split a class
     return materialize(nodes.join(least, "root").select("fp", "root", "component_id"))
 
 
