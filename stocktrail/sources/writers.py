@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text_value
 
+log = logging.getLogger(__name__)
+
 
 def text_rows(df: DataFrame) -> DataFrame:
     """Every column as sink text."""
@@ -58,8 +63,43 @@ def remove_cutoff(spark: SparkSession, path: str, cutoff: dt.date) -> None:
 def append_jdbc(
     df: DataFrame, url: str, table: str, cutoff: dt.date, *, batch: int = 10_000, options: dict[str, str] | None = None
 ) -> None:
-    """Append to a database table, creating it when missing; each task inserts in batches."""
-    writer = with_load_columns(df, cutoff).write.format("jdbc").mode("append")
-    writer.option("url", url).option("dbtable", table).option("batchsize", str(batch)).options(
-        **(options or {})
-    ).save()
+    """Append to a database table as one unit, creating it when missing.
+
+    Tasks insert in batches into a stage table of this run. When all of them have, one transaction in the
+    database moves the rows to ``table``; a run that fails before leaves it as it was, and a retried
+    task cannot add rows twice. The stage table goes either way.
+    """
+    spark, options = df.sparkSession, options or {}
+    rows, stage = with_load_columns(df, cutoff), f"{table}_{uuid.uuid4().hex[:12]}"
+
+    def write(part: DataFrame, name: str) -> None:
+        writer = part.write.format("jdbc").mode("append")
+        writer.option("url", url).option("dbtable", name).option("batchsize", str(batch)).options(**options).save()
+
+    names = ", ".join(f'"{c}"' for c in rows.columns)
+    try:
+        write(rows, stage)
+        write(rows.limit(0), table)
+        _in_transaction(spark, url, options, f"INSERT INTO {table} ({names}) SELECT {names} FROM {stage}")
+    finally:
+        try:
+            _in_transaction(spark, url, options, f"DROP TABLE {stage}")
+        except Py4JJavaError as error:  # the stage table was never made
+            log.warning("stage table %s not dropped: %s", stage, error.java_exception.getMessage())
+
+
+def _in_transaction(spark: SparkSession, url: str, options: dict[str, str], statement: str) -> None:
+    """Run one statement at the database and commit it."""
+    given = spark._jvm.java.util.Properties()
+    for key, value in options.items():
+        given.setProperty(key, value)
+    connection = spark._jvm.java.sql.DriverManager.getConnection(url, given)
+    try:
+        connection.setAutoCommit(False)
+        connection.createStatement().executeUpdate(statement)
+        connection.commit()
+    except Py4JJavaError:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()

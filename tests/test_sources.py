@@ -194,3 +194,18 @@ def test_snapshot_reads_one_period(spark, tmp_path):
     assert {r["category"] for r in got.collect()} == {2} and got.count() == 5
     assert all("period=2024-02-28" in f for f in got.inputFiles())
     assert {r["category"] for r in table.pick(DAY).collect()} == {3}
+
+
+def test_jdbc_append_is_one_unit(spark):
+    url, options = "jdbc:derby:memory:unit;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    df = spark.range(40).repartition(4).select(F.col("id").cast("int").alias("N"), F.lit("t").alias("T"))
+    broken = df.withColumn("T", F.when(F.col("N") == 39, F.raise_error(F.lit("gone"))).otherwise("z"))
+    stored = lambda: readers.jdbc_query(spark, url, "SELECT * FROM RESULT", options=options)
+    writers.append_jdbc(df.filter("N < 5"), url, "RESULT", DAY, options=options)
+    with pytest.raises(Exception, match="gone"):
+        writers.append_jdbc(broken, url, "RESULT", DAY, options=options)
+    assert stored().count() == 5 and {r["T"] for r in stored().collect()} == {"t"}
+    writers.append_jdbc(df, url, "RESULT", DAY, options=options)
+    assert stored().count() == 45
+    left = readers.jdbc_query(spark, url, "SELECT TABLENAME FROM SYS.SYSTABLES WHERE TABLETYPE = 'T'", options=options)
+    assert [r[0] for r in left.collect()] == ["RESULT"]
