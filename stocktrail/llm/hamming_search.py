@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
-from math import ceil, log2
+from math import ceil, comb, log2
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from stocktrail.runtime import materialize, written_rows
 
 SEGMENT_BITS = 20  # widest segment
+SHELL = 1000  # slots of one segment and radius up to which all segments are looked up at once
 
 
 def sign_code(vector: Column, bits: int) -> Column:
@@ -55,11 +56,13 @@ def _value(code: Column, segment: tuple[int, int, int]) -> Column:
 def _steps(parts: list[tuple[int, int, int]]) -> Iterator[tuple[int, list[int], int]]:
     """Radius, segments to look up, and the distance within which every code has been met afterwards.
 
-    The last step of a segment's whole width meets all codes.
+    The last step of a segment's whole width meets all codes. A step is several Spark jobs, so segments are
+    taken one by one only where each has many slots at this radius.
     """
     for radius in range(max(width for _, _, width in parts) + 1):
         open_parts = [i for i, (_, _, width) in enumerate(parts) if radius <= width]
-        groups = [open_parts] if radius < 2 else [[i] for i in open_parts]
+        small = all(comb(parts[i][2], radius) <= SHELL for i in open_parts)
+        groups = [open_parts] if small else [[i] for i in open_parts]
         done = len(parts) - len(open_parts)
         for group in groups:
             done += len(group)
@@ -89,7 +92,7 @@ def top_k(
     fewer than ``k`` rows all are returned. An empty side gives no rows; further columns are not used.
 
     Equal codes are searched as one. In round r each segment of a query is looked up with every
-    value exactly r bits away, from r = 2 on one segment after the other. Once j segments are looked up in
+    value exactly r bits away, where these are many one segment after the other. Once j segments are looked up in
     round r, a code not met differs by r + 1 bits in these and by r in the others, so every code within
     segments x r + j - 1 bits has been met and verified by its whole distance. A query is finished once its
     k-th verified distance is within that radius; only the others go on.

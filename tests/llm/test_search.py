@@ -15,8 +15,10 @@ def signed(code, bits):
     return [w - (1 << 64) if w >> 63 else w for w in ((code >> at) & ((1 << 64) - 1) for at in range(0, bits, 64))]
 
 
+@pytest.mark.parametrize("shell", [0, 1000])
 @pytest.mark.parametrize("bits,k", [(64, 3), (100, 5), (7, 4)])
-def test_against_brute_force(spark, bits, k):
+def test_against_brute_force(spark, monkeypatch, bits, k, shell):
+    monkeypatch.setattr(hs, "SHELL", shell)
     rng = random.Random(bits)
     codes = [rng.getrandbits(bits) for _ in range(40)]
     rows = [(i, rng.choice(codes) ^ (1 << rng.randrange(bits) if rng.random() < 0.5 else 0)) for i in range(120)]
