@@ -11,6 +11,7 @@ import time
 from pyspark.sql import SparkSession
 
 from stocktrail.plans.queries import QUERIES
+from stocktrail.runtime import remove_work
 
 # Query and number of timed runs.
 HEADLINE = {
@@ -55,6 +56,7 @@ def main() -> None:
     for name, runs in HEADLINE.items():
         timed(spark, name, folder)
         times[name] = round(statistics.median(timed(spark, name, folder) for _ in range(runs)), 3)
+        remove_work(spark)
         print(name, times[name], file=sys.stderr)
     out = {
         "metric": "headline_total",
