@@ -53,7 +53,8 @@ def materialize(df: DataFrame) -> DataFrame:
     counted = Observation()
     df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     written = spark.read.schema(df.schema).parquet(path)
-    _rows[written] = counted.get["rows"]
+    rows = counted.get.get("rows")
+    _rows[written] = written.count() if rows is None else rows
     return written
 
 
