@@ -5,6 +5,7 @@ from pathlib import Path
 
 import pytest
 
+from stocktrail.plans import receipts
 from stocktrail.plans.queries import QUERIES
 
 DATA = Path("/root/testdata/sf0.001")
@@ -35,3 +36,13 @@ def test_ledger_moves_its_wide_rows_once(spark, name):
     exchanges = shuffled(spark, QUERIES[name](spark, str(DATA)))
     assert len(exchanges) > 5
     assert with_column(exchanges, "JrnlMemo", "Warehouse", "TransValue") == 1
+
+
+def test_receipts_move_their_wide_rows_once_after_the_filter(spark, monkeypatch):
+    numbered = []
+    number_rows = receipts.number_rows
+    monkeypatch.setattr(receipts, "number_rows", lambda rows, *a, **k: numbered.append(rows) or number_rows(rows, *a, **k))
+    QUERIES["inbound_receipts"](spark, str(DATA))
+    exchanges = shuffled(spark, numbered[0])
+    assert len(exchanges) > 5
+    assert with_column(exchanges, "JrnlMemo", "Warehouse", "TransValue") == 1
