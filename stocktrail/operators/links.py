@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import share_shuffles
 from .skew import left_join, spread_null_keys
 
 
@@ -75,15 +76,19 @@ def follow(
     on: list[tuple[str, str]],
     limit: int | None = None,
     by: list[str] | None = None,
+    at: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Left join to follow-up lines that name the parent as their base document.
 
     ``on`` pairs a parent column with the child's ``base_entry``, ``base_line``, and where the
     chain asks for it ``item``. With ``by`` parents without the link are scattered by these columns,
-    and the scatter column stays for the next join on the same link.
+    and the scatter column stays for the next join on the same link. ``at`` pairs a column by which the
+    parents lie with the child's root (`rooted`); the parents then stay where they are.
     """
     typed = F.col(f"{prefix}_base_type") == F.lit(base_type)
     keys = [(p, f"{prefix}_{c}") for p, c in on]
+    if at:
+        return left_join(parents, child.rows.filter(typed), [at, *keys], limit, child.most, by=[]).drop(at[1])
     return left_join(parents, child.rows.filter(typed), keys, limit, child.most, by, keep_spread=True)
 
 
@@ -94,6 +99,7 @@ def alternative_link_join(
     arms: list[tuple[int, str, str]],
     limit: int | None = None,
     by: list[str] | None = None,
+    at: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Left join to child lines reachable by any of several (type, entry, line) links.
 
@@ -103,18 +109,27 @@ def alternative_link_join(
     row without any, and joins the children on it.  All joins are equi-joins, the parents are
     read once, and an arm on the key of the preceding join needs no new shuffle.
     Parents without a link are scattered by the columns ``by``, else by all that can be hashed.
+    With ``at``, see `follow`, the parents are not shuffled at all.
     """
+    share_shuffles(parents.sparkSession)
     by = parents.columns if by is None else by
     keys = ["_t", "_e", "_l"]
     base = [f"{prefix}_base_type", f"{prefix}_base_entry", f"{prefix}_base_line"]
     typed = F.col(base[0]).isin([a[0] for a in arms])
-    present = child.lines.filter(typed).select(*[F.col(b).cast("bigint").alias(k) for b, k in zip(base, keys)])
+    roots = [F.col(at[1]).alias("_r")] if at else []
+    present = child.lines.filter(typed).select(*[F.col(b).cast("bigint").alias(k) for b, k in zip(base, keys)], *roots)
     rows, links = parents, []
     for i, (kind, entry, line) in enumerate(arms):
-        of_kind = present.filter(F.col("_t") == kind).select(F.col("_e").alias(f"_e{i}"), F.col("_l").alias(f"_l{i}"))
-        rows, of_kind, spread = spread_null_keys(rows, of_kind.distinct(), [entry, line], [f"_e{i}", f"_l{i}"], by)
-        same = (rows[entry] == of_kind[f"_e{i}"]) & (rows[line] == of_kind[f"_l{i}"])
-        rows = rows.join(of_kind, same & (rows[spread] == of_kind["_rspread"]), "left").drop("_rspread")
+        arm = [F.col("_e").alias(f"_e{i}"), F.col("_l").alias(f"_l{i}"), *(["_r"] if at else [])]
+        of_kind = present.filter(F.col("_t") == kind).select(*arm)
+        if at:
+            of_kind = of_kind.repartition("_r").distinct()
+            same = (rows[entry] == of_kind[f"_e{i}"]) & (rows[line] == of_kind[f"_l{i}"])
+            rows = rows.join(of_kind, same & (rows[at[0]] == of_kind["_r"]), "left").drop("_r")
+        else:
+            rows, of_kind, spread = spread_null_keys(rows, of_kind.distinct(), [entry, line], [f"_e{i}", f"_l{i}"], by)
+            same = (rows[entry] == of_kind[f"_e{i}"]) & (rows[line] == of_kind[f"_l{i}"])
+            rows = rows.join(of_kind, same & (rows[spread] == of_kind["_rspread"]), "left").drop("_rspread")
         link = F.struct(
             F.lit(kind).cast("bigint").alias("_t"), F.col(f"_e{i}").alias("_e"), F.col(f"_l{i}").alias("_l")
         )
@@ -123,9 +138,46 @@ def alternative_link_join(
     resolved = rows.withColumn("_link", F.explode_outer(found))
     resolved = resolved.select(*parents.columns, *[F.col("_link")[k].alias(k) for k in keys])
     on = list(zip(keys, base))
+    if at:
+        return left_join(resolved, child.rows.filter(typed), [at, *on], limit, child.most, by=[]).drop(*keys, at[1])
     return left_join(resolved, child.rows.filter(typed), on, limit, child.most, by).drop(*keys)
 
 
+ROOT_LINK = ["_t", "_e", "_l", "_root"]
+
+
+def root_links(df: DataFrame, kind: int, prefix: str) -> DataFrame:
+    """The complete links that follow-up lines of ``df`` may name, each with the root it leads to."""
+    link = [F.lit(kind), F.col(f"{prefix}_entry"), F.col(f"{prefix}_line")]
+    named = [c.cast("bigint").alias(k) for c, k in zip(link, ROOT_LINK)]
+    return df.select(*named, F.col(f"{prefix}_root").alias("_root")).na.drop().distinct()
+
+
+def own_root(child: Documents, prefix: str, kind: int) -> Documents:
+    """Lines of one base type whose base document is the root itself."""
+    root, typed = F.col(f"{prefix}_base_entry"), F.col(f"{prefix}_base_type") == F.lit(kind)
+    add = [df.filter(typed & root.isNotNull()).withColumn(f"{prefix}_root", root) for df in (child.rows, child.lines)]
+    return Documents(*add, child.most)
+
+
+def rooted(child: Documents, prefix: str, links: DataFrame) -> Documents:
+    """Lines with the root that their base link leads to; a line comes once per root, without any not at all.
+
+    Only children move here, with narrow links; the parents of the whole chain stay with their root.
+    """
+    base = [F.col(f"{prefix}_base_{c}") for c in ("type", "entry", "line")]
+    same = reduce(lambda a, b: a & b, [b == F.col(k) for b, k in zip(base, ROOT_LINK)])
+    add = [
+        df.join(links, same).withColumnRenamed("_root", f"{prefix}_root").drop(*ROOT_LINK[:3])
+        for df in (child.rows, child.lines)
+    ]
+    return Documents(*add, child.most)
+
+
+def both(a: Documents, b: Documents) -> Documents:
+    return Documents(a.rows.unionByName(b.rows), a.lines.unionByName(b.lines), a.most)
+
+
 def document_index(headers: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
     """Headers of several document tables as one table keyed by (type, number).
 

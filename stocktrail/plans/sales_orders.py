@@ -17,8 +17,17 @@ from ..functions import (
     outer_side_cutoff,
     voided_or_missing,
 )
-from ..operators.links import Documents, alternative_link_join, document_lines, documents, follow
-from ..operators.skew import drop_spread
+from ..operators.links import (
+    Documents,
+    alternative_link_join,
+    both,
+    document_lines,
+    documents,
+    follow,
+    own_root,
+    root_links,
+    rooted,
+)
 from .key_sizes import SizedTables, link, sized
 
 Tables = Mapping[str, DataFrame]
@@ -26,7 +35,6 @@ Tables = Mapping[str, DataFrame]
 ORDER, INVOICE, DELIVERY, RETURN, RETURN_REQUEST = 17, 13, 15, 16, 234
 
 TRACE_KEYS = [link(name) for name in ("INV1", "DLN1", "RDN1", "RIN1")]
-_ORDER_LINE = ["so_entry", "so_line"]  # tells rows apart where a chain has no document
 
 _BASE = {"BaseType": "base_type", "BaseEntry": "base_entry", "BaseLine": "base_line"}
 _HEAD = {"DocNum": "number", "DocStatus": "status", "CreateDate": "created", "DocDate": "posted"}
@@ -75,6 +83,9 @@ def sales_order_trace(t: Tables, cutoff: dt.date, late_docs: str = "drop") -> Da
     ``late_docs="drop"`` removes rows whose delivery or return is later than the cutoff, so a
     line delivered only afterwards disappears; ``"ignore"`` leaves such documents out of the
     join and keeps the line.
+
+    Order lines lie by their order from the header join on and do not move again: every follow-up line
+    is first given its order, the root, along narrow links, and comes to it once.
     """
     if late_docs not in ("drop", "ignore"):
         raise ValueError(f"unknown late_docs {late_docs!r}")
@@ -87,23 +98,35 @@ def sales_order_trace(t: Tables, cutoff: dt.date, late_docs: str = "drop") -> Da
     credit = live_documents(t, "ORIN", "RIN1", "cn", {"DropShip": "drop_ship"}).where_line(F.col("cn_drop_ship") == "N")
     by_delivery = [("dl_entry", "base_entry"), ("dl_line", "base_line")]
 
-    rows = follow(
-        order_lines(t), live_documents(t, "OINV", "INV1", "inv"), "inv", ORDER, [("so_entry", "base_entry"), ("so_line", "base_line")], by=_ORDER_LINE
-    )
+    ordered, delivered = live_documents(t, "OINV", "INV1", "inv"), live_documents(t, "OINV", "INV1", "di")
+    invoice = own_root(ordered, "inv", ORDER)
+    by_invoice = root_links(invoice.rows, INVOICE, "inv")
+    delivery = both(own_root(delivery, "dl", ORDER), rooted(delivery, "dl", by_invoice))
+    of_delivery = root_links(delivery.rows, DELIVERY, "dl")
+    billed = rooted(delivered, "di", of_delivery)
+    returned = rooted(returned, "rt", of_delivery)
+    links = of_delivery.unionByName(by_invoice).unionByName(root_links(billed.rows, INVOICE, "di")).distinct()
+    credit = rooted(credit, "cn", links)
+
+    def at(prefix: str) -> tuple[str, str]:
+        return ("so_entry", f"{prefix}_root")
+
+    by_line = [("so_entry", "base_entry"), ("so_line", "base_line")]
+    rows = follow(order_lines(t), invoice, "inv", ORDER, by_line, at=at("inv"))
     rows = alternative_link_join(
-        rows, delivery, "dl", [(ORDER, "so_entry", "so_line"), (INVOICE, "inv_entry", "inv_line")], by=_ORDER_LINE
+        rows, delivery, "dl", [(ORDER, "so_entry", "so_line"), (INVOICE, "inv_entry", "inv_line")], at=at("dl")
     )
     if late_docs == "drop":
         rows = rows.filter(outer_side_cutoff(F.col("dl_created"), cutoff=day))
-    rows = follow(rows, live_documents(t, "OINV", "INV1", "di"), "di", DELIVERY, by_delivery, by=_ORDER_LINE)
+    rows = follow(rows, billed, "di", DELIVERY, by_delivery, at=at("di"))
     rows = alternative_link_join(
         rows,
         credit,
         "cn",
         [(DELIVERY, "dl_entry", "dl_line"), (INVOICE, "inv_entry", "inv_line"), (INVOICE, "di_entry", "di_line")],
-        by=_ORDER_LINE,
+        at=at("cn"),
     )
-    rows = drop_spread(follow(rows, returned, "rt", DELIVERY, by_delivery, by=_ORDER_LINE))
+    rows = follow(rows, returned, "rt", DELIVERY, by_delivery, at=at("rt"))
     if late_docs == "drop":
         rows = rows.filter(outer_side_cutoff(F.col("rt_created"), cutoff=day))
     kept = [c for c in rows.columns if not c.endswith(("_base_type", "_base_entry", "cn_drop_ship"))]
@@ -236,19 +259,32 @@ def order_fulfilment(t: Tables) -> DataFrame:
     returned, requested = _flagged(t, "ORDN", "RDN1", "rt"), _flagged(t, "ORDN", "RDN1", "rq")
     credit = _flagged(t, "ORIN", "RIN1", "cn")
 
-    on_credit = follow(orders, delivery, "dl", ORDER, on("so"), by=_ORDER_LINE).filter(alive(F.col("dl_cancelled")))
-    on_credit = follow(on_credit, returned, "rt", DELIVERY, on("dl"), by=_ORDER_LINE)
-    on_credit = on_credit.filter(voided_or_missing(F.col("rt_cancelled")))
-    on_credit = follow(on_credit, requested, "rq", RETURN_REQUEST, on("so"), by=_ORDER_LINE)
-    on_credit = follow(on_credit, invoice, "inv", DELIVERY, on("dl"), by=_ORDER_LINE).filter(alive(F.col("inv_cancelled")))
-    on_credit = follow(on_credit, credit, "cn", INVOICE, on("inv"), by=_ORDER_LINE)
+    def at(prefix: str) -> dict:
+        return {"on": on_of[prefix], "at": ("so_entry", f"{prefix}_root")}
+
+    requested = own_root(requested, "rq", RETURN_REQUEST)
 
-    in_cash = follow(orders, invoice, "inv", ORDER, on("so"), by=_ORDER_LINE).filter(alive(F.col("inv_cancelled")))
-    in_cash = follow(in_cash, delivery, "dl", INVOICE, on("inv"), by=_ORDER_LINE).filter(alive(F.col("dl_cancelled")))
-    in_cash = follow(in_cash, returned, "rt", DELIVERY, on("dl"), by=_ORDER_LINE)
+    first = own_root(delivery, "dl", ORDER)
+    links = root_links(first.rows, DELIVERY, "dl")
+    bills = rooted(invoice, "inv", links)
+    on_of = {"dl": on("so"), "rt": on("dl"), "rq": on("so"), "inv": on("dl"), "cn": on("inv")}
+    on_credit = follow(orders, first, "dl", ORDER, **at("dl")).filter(alive(F.col("dl_cancelled")))
+    on_credit = follow(on_credit, rooted(returned, "rt", links), "rt", DELIVERY, **at("rt"))
+    on_credit = on_credit.filter(voided_or_missing(F.col("rt_cancelled")))
+    on_credit = follow(on_credit, requested, "rq", RETURN_REQUEST, **at("rq"))
+    on_credit = follow(on_credit, bills, "inv", DELIVERY, **at("inv")).filter(alive(F.col("inv_cancelled")))
+    on_credit = follow(on_credit, rooted(credit, "cn", root_links(bills.rows, INVOICE, "inv")), "cn", INVOICE, **at("cn"))
+
+    first = own_root(invoice, "inv", ORDER)
+    sent = rooted(delivery, "dl", root_links(first.rows, INVOICE, "inv"))
+    back = rooted(returned, "rt", root_links(sent.rows, DELIVERY, "dl"))
+    on_of = {"inv": on("so"), "dl": on("inv"), "rt": on("dl"), "rq": on("so"), "cn": on("rt")}
+    in_cash = follow(orders, first, "inv", ORDER, **at("inv")).filter(alive(F.col("inv_cancelled")))
+    in_cash = follow(in_cash, sent, "dl", INVOICE, **at("dl")).filter(alive(F.col("dl_cancelled")))
+    in_cash = follow(in_cash, back, "rt", DELIVERY, **at("rt"))
     in_cash = in_cash.filter(voided_or_missing(F.col("rt_cancelled")))
-    in_cash = follow(in_cash, requested, "rq", RETURN_REQUEST, on("so"), by=_ORDER_LINE)
-    in_cash = follow(in_cash, credit, "cn", RETURN, on("rt"), by=_ORDER_LINE)
+    in_cash = follow(in_cash, requested, "rq", RETURN_REQUEST, **at("rq"))
+    in_cash = follow(in_cash, rooted(credit, "cn", root_links(back.rows, RETURN, "rt")), "cn", RETURN, **at("cn"))
 
     def published(df: DataFrame, form: str) -> DataFrame:
         kept = df.filter(voided_or_missing(F.col("cn_cancelled"))).select(
@@ -256,6 +292,6 @@ def order_fulfilment(t: Tables) -> DataFrame:
             *[f"so_{c}" for c in ("line", "item", "qty", "line_status")],
             *[f"{p}_{c}" for p in ("dl", "rt", "rq", "inv", "cn") for c in ("number", "posted", "cancelled", "qty")],
         )
-        return drop_spread(kept).distinct().withColumn("payment_form", F.lit(form))
+        return kept.distinct().withColumn("payment_form", F.lit(form))
 
     return published(on_credit, CREDIT).unionByName(published(in_cash, CASH))

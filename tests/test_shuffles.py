@@ -46,3 +46,17 @@ def test_receipts_move_their_wide_rows_once_after_the_filter(spark, monkeypatch)
     exchanges = shuffled(spark, numbered[0])
     assert len(exchanges) > 5
     assert with_column(exchanges, "JrnlMemo", "Warehouse", "TransValue") == 1
+
+
+@pytest.mark.parametrize(
+    "name, column, most",
+    [
+        ("sales_order_trace", "so_text", 1),
+        ("sales_order_trace_ignore_late", "so_item", 1),
+        # Two payment forms, each with its order lines and its distinct rows.
+        ("order_fulfilment", "so_line_status", 4),
+    ],
+)
+def test_order_lines_stay_with_their_order(spark, name, column, most):
+    exchanges = shuffled(spark, QUERIES[name](spark, str(DATA)))
+    assert 1 <= with_column(exchanges, column) <= most
