@@ -60,3 +60,10 @@ def test_receipts_move_their_wide_rows_once_after_the_filter(spark, monkeypatch)
 def test_order_lines_stay_with_their_order(spark, name, column, most):
     exchanges = shuffled(spark, QUERIES[name](spark, str(DATA)))
     assert 1 <= with_column(exchanges, column) <= most
+
+
+def test_alternative_link_join_reads_what_it_shows(spark):
+    """Rows without a link are scattered by the order line, so no other column goes along."""
+    exchanges = shuffled(spark, QUERIES["alternative_link_join"](spark, str(DATA)))
+    assert with_column(exchanges, "so_text", "so_client") == 0
+    assert with_column(exchanges, "so_qty") <= 4
