@@ -67,3 +67,9 @@ def test_alternative_link_join_reads_what_it_shows(spark):
     exchanges = shuffled(spark, QUERIES["alternative_link_join"](spark, str(DATA)))
     assert with_column(exchanges, "so_text", "so_client") == 0
     assert with_column(exchanges, "so_qty") <= 4
+
+
+def test_balance_moves_order_heads_once(spark):
+    """Complete heads once, those without number or item once."""
+    exchanges = shuffled(spark, QUERIES["sales_order_balance"](spark, str(DATA)))
+    assert 1 <= with_column(exchanges, "so_client") <= 2
