@@ -28,6 +28,7 @@ from ..operators.links import (
     root_links,
     rooted,
 )
+from ..operators.skew import PLACE, place_of
 from .key_sizes import SizedTables, link, sized
 
 Tables = Mapping[str, DataFrame]
@@ -289,10 +290,16 @@ def order_fulfilment(t: Tables) -> DataFrame:
 
     def published(df: DataFrame, form: str) -> DataFrame:
         kept = df.filter(voided_or_missing(F.col("cn_cancelled"))).select(
+            "so_entry",
             *[f"so_{c}" for c in ("number", "posted", "partner", "client", "payment_group", "status", "cancelled")],
             *[f"so_{c}" for c in ("line", "item", "qty", "line_status")],
             *[f"{p}_{c}" for p in ("dl", "rt", "rq", "inv", "cn") for c in ("number", "posted", "cancelled", "qty")],
         )
-        return kept.distinct().withColumn("payment_form", F.lit(form))
+        # Repeats of one order go where they lie. Then an order's rows move together, so that a shuffle block holds what
+        # they share about once; rows without a number scatter.
+        kept = kept.distinct().drop("so_entry")
+        place = place_of(F.col("so_number"), [F.col(c) for c in ("so_partner", "so_item", "so_line")])
+        placed = kept.withColumn(PLACE, place).repartition(PLACE)
+        return placed.distinct().drop(PLACE).withColumn("payment_form", F.lit(form))
 
     return published(on_credit, CREDIT).unionByName(published(in_cash, CASH))

@@ -73,3 +73,16 @@ def test_balance_moves_order_heads_once(spark):
     """Complete heads once, those without number or item once."""
     exchanges = shuffled(spark, QUERIES["sales_order_balance"](spark, str(DATA)))
     assert 1 <= with_column(exchanges, "so_client") <= 2
+
+
+def test_fulfilment_rows_of_an_order_move_together(spark):
+    """Rows are dealt by the order's number alone, after repeats are removed where they lie."""
+    frame = QUERIES["order_fulfilment"](spark, str(DATA))
+    before = spark.conf.get(BROADCAST)
+    spark.conf.set(BROADCAST, "-1")
+    try:
+        plan = frame.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(BROADCAST, before)
+    assert len(re.findall(r"Exchange hashpartitioning\(_place#\d+, \d+\)", plan)) == 2
+    assert not re.search(r"Exchange hashpartitioning\(so_number#", plan)
