@@ -941,7 +941,8 @@ def ledger_order(spark, folder):
 @query
 def ledger_movement_order(spark, folder):
     """Row numbers of every ledger row in the published order, by day of creation; movement number and item break ties."""
-    rows = ledger.movement_ledger(erp_tables(spark, folder)).select("created", "movement_no", "item")
+    rows = ledger.movement_ledger(erp_tables(spark, folder), only=["created", "movement_no", "item"])
+    rows = materialize(rows)
     order = [F.col(c).asc_nulls_last() for c in rows.columns]
     return plain(windows.number_rows(rows, order, "row_no"))
 
