@@ -86,3 +86,14 @@ def test_fulfilment_rows_of_an_order_move_together(spark):
         spark.conf.set(BROADCAST, before)
     assert len(re.findall(r"Exchange hashpartitioning\(_place#\d+, \d+\)", plan)) == 2
     assert not re.search(r"Exchange hashpartitioning\(so_number#", plan)
+
+
+def test_receipts_choose_movements_by_their_keys(spark, monkeypatch):
+    """The wide columns meet the chosen keys once, and are not moved again to be numbered."""
+    written, write = [], receipts.materialize
+    monkeypatch.setattr(receipts, "materialize", lambda df: written.append(df) or write(df))
+    got = QUERIES["inbound_receipts"](spark, str(DATA))
+    exchanges = shuffled(spark, written[0])
+    assert len(exchanges) > 8
+    assert with_column(exchanges, "Dscription", "Warehouse", "TransValue") == 1
+    assert "rangepartitioning" not in got._jdf.queryExecution().executedPlan().toString()
