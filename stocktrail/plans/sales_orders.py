@@ -29,6 +29,7 @@ from ..operators.links import (
     rooted,
 )
 from ..operators.skew import PLACE, place_of
+from ..runtime import hot_rows, materialize
 from .key_sizes import SizedTables, link, sized
 
 Tables = Mapping[str, DataFrame]
@@ -249,7 +250,8 @@ def order_fulfilment(t: Tables) -> DataFrame:
     """Order lines with their deliveries, returns, invoices and credit notes, on credit and in cash.
 
     On credit the order is delivered and the delivery invoiced; in cash the order is invoiced
-    and the invoice delivered.
+    and the invoice delivered. Over large document tables the first form's rows are written, so that the shuffle
+    files of the two forms do not lie on disk together.
     """
 
     def on(prefix: str) -> list[tuple[str, str]]:
@@ -302,4 +304,8 @@ def order_fulfilment(t: Tables) -> DataFrame:
         placed = kept.withColumn(PLACE, place).repartition(PLACE)
         return placed.distinct().drop(PLACE).withColumn("payment_form", F.lit(form))
 
-    return published(on_credit, CREDIT).unionByName(published(in_cash, CASH))
+    first = published(on_credit, CREDIT)
+    limit = hot_rows(first.sparkSession)
+    if any(t.may_exceed(limit, *link(name)) for name in ("DLN1", "INV1")):
+        first = materialize(first)
+    return first.unionByName(published(in_cash, CASH))
